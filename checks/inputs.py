@@ -213,7 +213,9 @@ def order_positions(orders: DataFrame) -> DataFrame:
         .select("ck", "day", (F.sum("n").over(by_day) - F.col("n")).alias("earlier"))
     )
     within_day = F.row_number().over(Window.partitionBy("ck", "day").orderBy("ok"))
-    return placed.join(earlier, ["ck", "day"]).select(
+    # One fixed join strategy: the plan is the same wherever this frame is used
+    # within a query, so its shuffles are reused.
+    return placed.join(earlier.hint("merge"), ["ck", "day"]).select(
         "ck", "ok", (F.col("earlier") + within_day).alias("rn")
     )
 

@@ -76,6 +76,7 @@ from loanpanel.plans.training_set import (
     features_and_labels,
     training_set,
 )
+from loanpanel.session import tuned
 from loanpanel.sources.delimited import (
     canonical_performance_names,
     read_originations,
@@ -96,7 +97,7 @@ QUERIES: dict[str, Query] = {}
 
 def register(name: str, statement: str):
     def keep(run):
-        QUERIES[name] = Query(run, statement)
+        QUERIES[name] = Query(lambda spark, sf_dir: run(tuned(spark), sf_dir), statement)
         return run
 
     return keep
@@ -608,7 +609,7 @@ def _(spark, sf_dir):
 @register("aggregate_and_join", query(sql.AGGREGATED, "SELECT * FROM aggregated"))
 def _(spark, sf_dir):
     rows = flagged(spark, sf_dir)
-    return rounded(features_and_labels(rows, feature_cutoff(rows)))
+    return rounded(features_and_labels(with_first_default(rows), feature_cutoff(rows)))
 
 
 @register("aggregate_performance", query(sql.AGGREGATED, "SELECT * FROM aggregated"))

@@ -33,3 +33,7 @@ def _bound(limit: float) -> Column:
 def indicator(condition: Column) -> Column:
     """0/1 byte; an unknown condition counts as 0."""
     return F.when(condition, 1).otherwise(0).cast("byte")
+
+
+def named(columns: Mapping[str, Column]) -> list[Column]:
+    return [column.alias(name) for name, column in columns.items()]

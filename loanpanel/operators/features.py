@@ -7,6 +7,7 @@ last row are taken as one struct each instead of one aggregate per column.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loanpanel.functions.codes import named
 from loanpanel.operators.labels import payment_gap
 from loanpanel.operators.performance import NOT_DEFERRED, NOT_MODIFIED, STILL_OPEN
 from loanpanel.schemas import LOAN, MONTH
@@ -76,38 +77,30 @@ LATEST_KNOWN = {
 }
 
 
-def _ever() -> dict[str, Column]:
-    """1 if any month meets the condition."""
-    assisted = F.col("BORROWER_ASSISTANCE_STATUS_CODE")
-    return {
-        "EVER_MODIFIED": F.col("MOD_FLAG") != NOT_MODIFIED,
-        "EVER_HAD_NIB_UPB": F.col("CURRENT_NON_INTEREST_BEARING_UPB") > 0,
-        "EVER_STEP_MOD": F.col("STEP_MOD_FLAG") == "STEP_MOD",
-        "EVER_FIXED_MOD": F.col("STEP_MOD_FLAG") == "NON_STEP_MOD",
-        "EVER_PAYMENT_DEFERRAL": F.col("PAYMENT_DEFERRAL_FLAG") != NOT_DEFERRED,
-        "EVER_UNDERWATER": F.col("ELTV") > UNDERWATER_RATIO,
-        "EVER_FORBEARANCE": assisted == "FORBEARANCE",
-        "EVER_REPAYMENT": assisted == "REPAYMENT",
-        "EVER_TRIAL_PERIOD": assisted == "TRIAL_PERIOD",
-    }
-
-
-def _months_with() -> dict[str, Column]:
-    """Number of months that meet the condition."""
-    return {
-        "NUMBER_OF_LATE_MONTHS": F.col("STATUS") > 0,
-        "NUMBER_OF_MODIFICATIONS": F.col("MOD_FLAG") == "CURRENT_PERIOD_MOD",
-        "DEFERRAL_EVENT_COUNT": F.col("PAYMENT_DEFERRAL_FLAG") == "CURRENT_PERIOD",
-    }
-
-
-def _last_row_is() -> dict[str, Column]:
-    """1 if the loan's last observed month meets the condition."""
-    return {
-        "IS_ACTIVE_AT_SNAPSHOT": F.col("last_row.ZERO_BALANCE_CODE") == STILL_OPEN,
-        "IS_CURRENTLY_STEP_MOD": F.col("last_row.STEP_MOD_FLAG") == "STEP_MOD",
-        "IS_RECENTLY_DEFERRED": F.col("last_row.PAYMENT_DEFERRAL_FLAG") == "CURRENT_PERIOD",
-    }
+# 1 if any month meets the condition.
+EVER = {
+    "EVER_MODIFIED": f"MOD_FLAG != '{NOT_MODIFIED}'",
+    "EVER_HAD_NIB_UPB": "CURRENT_NON_INTEREST_BEARING_UPB > 0",
+    "EVER_STEP_MOD": "STEP_MOD_FLAG = 'STEP_MOD'",
+    "EVER_FIXED_MOD": "STEP_MOD_FLAG = 'NON_STEP_MOD'",
+    "EVER_PAYMENT_DEFERRAL": f"PAYMENT_DEFERRAL_FLAG != '{NOT_DEFERRED}'",
+    "EVER_UNDERWATER": f"ELTV > {UNDERWATER_RATIO}",
+    "EVER_FORBEARANCE": "BORROWER_ASSISTANCE_STATUS_CODE = 'FORBEARANCE'",
+    "EVER_REPAYMENT": "BORROWER_ASSISTANCE_STATUS_CODE = 'REPAYMENT'",
+    "EVER_TRIAL_PERIOD": "BORROWER_ASSISTANCE_STATUS_CODE = 'TRIAL_PERIOD'",
+}
+# Number of months that meet the condition.
+MONTHS_WITH = {
+    "NUMBER_OF_LATE_MONTHS": "STATUS > 0",
+    "NUMBER_OF_MODIFICATIONS": "MOD_FLAG = 'CURRENT_PERIOD_MOD'",
+    "DEFERRAL_EVENT_COUNT": "PAYMENT_DEFERRAL_FLAG = 'CURRENT_PERIOD'",
+}
+# 1 if the column has the value in the loan's last observed month.
+LAST_ROW_IS = {
+    "IS_ACTIVE_AT_SNAPSHOT": ("ZERO_BALANCE_CODE", STILL_OPEN),
+    "IS_CURRENTLY_STEP_MOD": ("STEP_MOD_FLAG", "STEP_MOD"),
+    "IS_RECENTLY_DEFERRED": ("PAYMENT_DEFERRAL_FLAG", "CURRENT_PERIOD"),
+}
 
 
 def with_feature_inputs(history: DataFrame) -> DataFrame:
@@ -126,15 +119,14 @@ def feature_aggregates(observed: Column | None = None) -> dict[str, Column]:
     """Per-loan aggregates behind the features, over rows where ``observed``."""
 
     def seen(value: Column, also: Column | None = None) -> Column:
-        conditions = [c for c in (observed, also) if c is not None]
-        for condition in conditions:
-            value = F.when(condition, value)
+        for condition in (observed, also):
+            if condition is not None:
+                value = F.when(condition, value)
         return value
 
-    month = F.col(MONTH)
+    month, upb = F.col(MONTH), F.col("CURRENT_ACTUAL_UPB")
     first_fields = sorted(set(FIRST_ROW.values()))
-    last_fields = sorted({*LAST_ROW.values(), "STEP_MOD_FLAG", "PAYMENT_DEFERRAL_FLAG"})
-    upb = F.col("CURRENT_ACTUAL_UPB")
+    last_fields = sorted({*LAST_ROW.values(), *[field for field, _ in LAST_ROW_IS.values()]})
     aggregates = {
         "PERFORMANCE_MONTHS_OBSERVED": F.count(seen(month)),
         "first_row": F.min_by(F.struct(*first_fields), seen(month)),
@@ -149,34 +141,43 @@ def feature_aggregates(observed: Column | None = None) -> dict[str, Column]:
     for name, source in DEVIATION.items():
         aggregates[name] = F.coalesce(F.stddev(seen(F.col(source))), F.lit(0.0))
     for name, source in LATEST_KNOWN.items():
-        known = F.col(source).isNotNull()
-        aggregates[name] = F.max_by(F.col(source), seen(month, known))
-    for name, condition in _ever().items():
-        aggregates[name] = F.max(seen(F.when(condition, 1).otherwise(0)))
-    for name, condition in _months_with().items():
-        aggregates[name] = F.sum(seen(F.when(condition, 1).otherwise(0)))
+        aggregates[name] = F.max_by(source, seen(month, F.col(source).isNotNull()))
+    for name, condition in EVER.items():
+        aggregates[name] = F.max(seen(F.expr(f"IF({condition}, 1, 0)")))
+    for name, condition in MONTHS_WITH.items():
+        aggregates[name] = F.sum(seen(F.expr(f"IF({condition}, 1, 0)")))
     return aggregates
 
 
+# Features that are aggregates as they stand; the rest come from two rows.
+DIRECT = (
+    "PERFORMANCE_MONTHS_OBSERVED",
+    "FINAL_NON_ZERO_UPB",
+    "AVG_MONTHLY_MOD_COST",
+    *LARGEST,
+    *SMALLEST,
+    *DEVIATION,
+    *LATEST_KNOWN,
+    *EVER,
+    *MONTHS_WITH,
+)
+
+
 def feature_columns() -> dict[str, Column]:
     """The 64 features from ``feature_aggregates``, by name."""
-    features = {
-        name: F.col(name)
-        for name in feature_aggregates()
-        if name not in ("first_row", "last_row")
+    first_row, last_row = F.col("first_row"), F.col("last_row")
+    return {
+        **{name: F.col(name) for name in DIRECT},
+        **{name: first_row[field] for name, field in FIRST_ROW.items()},
+        **{name: last_row[field] for name, field in LAST_ROW.items()},
+        **{
+            name: F.when(last_row[field] == value, 1).otherwise(0)
+            for name, (field, value) in LAST_ROW_IS.items()
+        },
     }
-    features |= {name: F.col(f"first_row.{field}") for name, field in FIRST_ROW.items()}
-    features |= {name: F.col(f"last_row.{field}") for name, field in LAST_ROW.items()}
-    for name, condition in _last_row_is().items():
-        features[name] = F.when(condition, 1).otherwise(0)
-    return features
 
 
 def loan_features(observed_rows: DataFrame) -> DataFrame:
     """One row of features per loan from rows that may feed features."""
-    totals = (
-        with_feature_inputs(observed_rows)
-        .groupBy(LOAN)
-        .agg(*[column.alias(name) for name, column in feature_aggregates().items()])
-    )
-    return totals.select(LOAN, *[c.alias(n) for n, c in feature_columns().items()])
+    totals = with_feature_inputs(observed_rows).groupBy(LOAN).agg(*named(feature_aggregates()))
+    return totals.select(LOAN, *named(feature_columns()))

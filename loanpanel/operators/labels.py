@@ -5,7 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanpanel.functions.codes import indicator, lookup
+from loanpanel.functions.codes import indicator, lookup, named
 from loanpanel.functions.parsing import month_index
 from loanpanel.operators.panel import by_month, whole_loan
 from loanpanel.schemas import LOAN, MONTH
@@ -135,27 +135,29 @@ def label_aggregates() -> dict[str, Column]:
     }
 
 
-def label_columns() -> dict[str, Column]:
-    """The ten labels from ``label_aggregates``.
+def label_columns(prefix: str = "") -> dict[str, Column]:
+    """The ten labels from ``label_aggregates`` whose names got this prefix.
 
     LABEL_DEFAULT_6MO is the maximum over all rows of a maximum over the rows
     from each one on, which is the maximum over all rows.
     """
+    first, start = F.col(f"{prefix}first_default"), F.col(f"{prefix}start")
+    last = F.col(f"{prefix}last_row")
     return {
-        "LABEL_DEFAULT_6MO": F.col("ever_default"),
-        "LABEL_EVER_DEFAULTED": F.col("ever_default"),
-        "TOTAL_MONTHS_IN_DEFAULT": F.col("default_months"),
-        "AGE_AT_FIRST_DEFAULT": whole_months(F.col("first_default"), F.col("start")),
-        "IS_TERMINAL_DEFAULT": F.col("last_row.IS_IN_DEFAULT"),
-        "ACTUAL_TERMINAL_ZBC": F.col("last_row.ZERO_BALANCE_CODE"),
-        "ACTUAL_EXIT_CATEGORY": exit_category(F.col("last_row.ZERO_BALANCE_CODE")),
-        "TOTAL_ACTUAL_LOSS_AMOUNT": F.col("most_interest"),
-        "WAS_CREDIT_LOSS_EVENT": F.col("any_interest"),
-        "FINAL_EXIT_WAS_DISASTER_RELATED": F.col("last_row.DELINQUENCY_DUE_TO_DISASTER"),
+        "LABEL_DEFAULT_6MO": F.col(f"{prefix}ever_default"),
+        "LABEL_EVER_DEFAULTED": F.col(f"{prefix}ever_default"),
+        "TOTAL_MONTHS_IN_DEFAULT": F.col(f"{prefix}default_months"),
+        "AGE_AT_FIRST_DEFAULT": whole_months(first, start),
+        "IS_TERMINAL_DEFAULT": last["IS_IN_DEFAULT"],
+        "ACTUAL_TERMINAL_ZBC": last["ZERO_BALANCE_CODE"],
+        "ACTUAL_EXIT_CATEGORY": exit_category(last["ZERO_BALANCE_CODE"]),
+        "TOTAL_ACTUAL_LOSS_AMOUNT": F.col(f"{prefix}most_interest"),
+        "WAS_CREDIT_LOSS_EVENT": F.col(f"{prefix}any_interest"),
+        "FINAL_EXIT_WAS_DISASTER_RELATED": last["DELINQUENCY_DUE_TO_DISASTER"],
     }
 
 
 def default_labels(history: DataFrame) -> DataFrame:
     """One row of labels per loan from its history (with IS_IN_DEFAULT)."""
-    totals = history.groupBy(LOAN).agg(*[c.alias(n) for n, c in label_aggregates().items()])
-    return totals.select(LOAN, *[c.alias(n) for n, c in label_columns().items()])
+    totals = history.groupBy(LOAN).agg(*named(label_aggregates()))
+    return totals.select(LOAN, *named(label_columns()))

@@ -5,7 +5,7 @@ window over a loan holds a bounded number of rows whatever the raw data held.
 All windows use one order, hence one shuffle and one sort by loan.
 """
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -64,18 +64,18 @@ def termination_month(df: DataFrame) -> DataFrame:
     return df.withColumn("TERMINATION_MONTH", F.min(closing).over(whole_loan()))
 
 
-def with_previous_month(df: DataFrame) -> DataFrame:
-    """Add the previous row's status, balance and deferred balance."""
-    return df.select(
-        "*",
-        F.lag("CURRENT_DELINQUENCY_STATUS").over(by_month()).alias("PREV_STATUS"),
-        F.lag("CURRENT_ACTUAL_UPB").over(by_month()).alias("PREV_UPB"),
-        F.lag("CURRENT_NON_INTEREST_BEARING_UPB").over(by_month()).alias("PREV_NIB"),
-        F.lag(MONTH).over(by_month()).alias("PREV_MONTH"),
-    )
+def previous_month() -> dict[str, Column]:
+    """The previous row's status, balance, deferred balance and month."""
+    return {
+        "PREV_STATUS": F.lag("CURRENT_DELINQUENCY_STATUS").over(by_month()),
+        "PREV_UPB": F.lag("CURRENT_ACTUAL_UPB").over(by_month()),
+        "PREV_NIB": F.lag("CURRENT_NON_INTEREST_BEARING_UPB").over(by_month()),
+        "PREV_MONTH": F.lag(MONTH).over(by_month()),
+    }
 
 
-PREVIOUS = ("PREV_STATUS", "PREV_UPB", "PREV_NIB", "PREV_MONTH")
+def with_previous_month(df: DataFrame) -> DataFrame:
+    return df.withColumns(previous_month())
 
 
 def status_jump() -> Column:
@@ -150,17 +150,32 @@ def drop_bad_loans(
     cleaned: DataFrame,
     require_consecutive_months: bool = False,
     prefer: Sequence[str] = (),
+    first_months: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Deduplicate, truncate at termination and drop implausible loans.
 
     Truncation keeps the first months of a loan, so the previous row is the same
     before and after it and both are computed over the same window.
+    ``first_months`` adds, per name, the loan's first kept month that meets the
+    condition; it shares the window that finds the implausible loans.
     """
-    columns = cleaned.columns
+    columns, first_months = cleaned.columns, dict(first_months or {})
     marked = (
-        with_previous_month(one_row_per_month(cleaned, prefer))
-        .withColumn("kept", ~closed_before())
-        .withColumn("bad", F.col("kept") & implausible(require_consecutive_months))
-        .withColumn("bad_loan", F.max("bad").over(whole_loan()))
+        one_row_per_month(cleaned, prefer)
+        .withColumns({**previous_month(), "closed": closed_before()})
+        .withColumns(
+            {
+                "bad_loan": F.max(
+                    ~F.col("closed") & implausible(require_consecutive_months)
+                ).over(whole_loan()),
+                **{
+                    name: F.min(F.when(~F.col("closed") & condition, F.col(MONTH))).over(
+                        whole_loan()
+                    )
+                    for name, condition in first_months.items()
+                },
+            }
+        )
     )
-    return marked.where(F.col("kept") & ~F.col("bad_loan")).select(*columns)
+    kept = marked.where(~F.col("closed") & ~F.col("bad_loan"))
+    return kept.select(*columns, *first_months)

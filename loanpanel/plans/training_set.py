@@ -5,7 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanpanel.functions.codes import indicator
+from loanpanel.functions.codes import indicator, named
 from loanpanel.operators.features import (
     feature_aggregates,
     feature_columns,
@@ -16,9 +16,10 @@ from loanpanel.operators.labels import (
     before_default,
     feature_cutoff,
     label_aggregates,
+    in_default,
     label_columns,
+    payment_gap,
     with_default_flag,
-    with_first_default,
 )
 from loanpanel.operators.originations import clean_originations
 from loanpanel.operators.panel import drop_bad_loans
@@ -37,34 +38,28 @@ UNREAD = (
 def features_and_labels(
     history: DataFrame, cutoff: Column, next_6mo_label: bool = False
 ) -> DataFrame:
-    """Features and labels per loan from plausible rows with IS_IN_DEFAULT.
+    """Features and labels per loan, from plausible rows with IS_IN_DEFAULT and
+    FIRST_DEFAULT.
 
     Features see only months before default and cutoff, labels see all; both
     come from one aggregation. Loans without any feature month are left out.
     """
-    marked = with_feature_inputs(with_first_default(history)).withColumn(
-        "observed", before_default(cutoff)
+    rows = with_feature_inputs(history).withColumn("observed", before_default(cutoff))
+    totals = rows.groupBy(LOAN).agg(
+        *[column.alias(f"l_{name}") for name, column in label_aggregates().items()],
+        *[
+            column.alias(name)
+            for name, column in feature_aggregates(F.col("observed")).items()
+        ],
     )
-    aggregates = label_aggregates()
-    features = feature_aggregates(F.col("observed"))
-    totals = marked.groupBy(LOAN).agg(
-        *[column.alias(f"l_{name}") for name, column in aggregates.items()],
-        *[column.alias(name) for name, column in features.items()],
-    )
-    seen = totals.where(F.col("PERFORMANCE_MONTHS_OBSERVED") > 0)
-    with_features = seen.select(
-        LOAN,
-        *[column.alias(name) for name, column in feature_columns().items()],
-        *[F.col(f"l_{name}").alias(name) for name in aggregates],
-    )
-    labels = label_columns()
+    labels = label_columns("l_")
     if next_6mo_label:
         labels["LABEL_DEFAULT_NEXT_6MO"] = indicator(
-            F.col("first_default")
+            F.col("l_first_default")
             <= F.add_months(F.col("LAST_MONTHLY_REPORTING_PERIOD"), LOOKAHEAD_MONTHS)
         )
-    return with_features.select(
-        LOAN, *feature_columns(), *[column.alias(name) for name, column in labels.items()]
+    return totals.where(F.col("PERFORMANCE_MONTHS_OBSERVED") > 0).select(
+        LOAN, *named(feature_columns()), *named(labels)
     )
 
 
@@ -82,7 +77,12 @@ def aggregate_performance(
     loan defaults in the six months after its last feature month.
     """
     history = with_default_flag(
-        drop_bad_loans(cleaned.drop(*UNREAD), require_consecutive_months, prefer)
+        drop_bad_loans(
+            cleaned.drop(*UNREAD),
+            require_consecutive_months,
+            prefer,
+            first_months={"FIRST_DEFAULT": in_default(payment_gap()) == 1},
+        )
     )
     if cutoff is None:
         cutoff = feature_cutoff(history)
