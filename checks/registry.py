@@ -811,6 +811,34 @@ def _(spark, sf_dir):
     return clean_columns(loans(spark, sf_dir), patterns).select(LOAN, *CATEGORIES)
 
 
+# column: (codes, label of anything else)
+EARLIER_CODES = {
+    "MOD_FLAG": ("('Y', 'P')", "NOT_MODIFIED"),
+    "STEP_MOD_FLAG": ("('Y', 'N')", "NOT_MODIFIED_IN_PERIOD"),
+    "PAYMENT_DEFERRAL_FLAG": ("('Y', 'P')", "NOT_PAYMENT_DEFERRAL"),
+}
+
+
+@register(
+    "keep_codes_performance",
+    query(
+        sql.PERF_VALID,
+        f"SELECT {LOAN}, {MONTH}, "
+        + ", ".join(
+            f"CASE WHEN {sql.text(c)} IN {codes} THEN {sql.text(c)} ELSE '{unknown}' END AS {c}, "
+            f"{flag(f'{sql.text(c)} IS NULL OR {sql.text(c)} NOT IN {codes}')} AS {c}_IS_MISSING"
+            for c, (codes, unknown) in EARLIER_CODES.items()
+        )
+        + " FROM perf_valid",
+    ),
+)
+def _(spark, sf_dir):
+    patterns = [_earlier(c, EARLIER_PERFORMANCE_PATTERNS) for c in EARLIER_CODES]
+    return clean_columns(months(spark, sf_dir), patterns).select(
+        LOAN, MONTH, *EARLIER_CODES, *[f"{c}_IS_MISSING" for c in EARLIER_CODES]
+    )
+
+
 _msa = sql.text("MSA_OR_MET_DIV")
 
 

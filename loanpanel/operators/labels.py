@@ -96,14 +96,15 @@ def with_first_default(history: DataFrame) -> DataFrame:
     return history.withColumn("FIRST_DEFAULT", F.min(month).over(whole_loan()))
 
 
-def feature_cutoff(history: DataFrame) -> Column:
+def feature_cutoff(history: DataFrame, settled: bool = False) -> Column:
     """Last month features may use: six months before the last one reported.
 
     The maximum is taken of whole rows so that this subquery needs the same
     columns as the query around it: Spark then reuses the shuffled panel
-    instead of reading and shuffling the input a second time.
+    instead of reading and shuffling the input a second time. A ``settled``
+    (stored) history is better read for its month alone.
     """
-    others = [name for name in history.columns if name != MONTH]
+    others = [] if settled else [name for name in history.columns if name != MONTH]
     last = history.agg(F.max(F.struct(MONTH, *others)).alias("last")).select(f"last.{MONTH}")
     return F.add_months(last.scalar(), -LOOKAHEAD_MONTHS)
 

@@ -1,6 +1,6 @@
 """From the two raw tables to the model-ready table."""
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,12 +69,17 @@ def aggregate_performance(
     next_6mo_label: bool = False,
     require_consecutive_months: bool = False,
     prefer: Sequence[str] = (),
+    settle: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Cleaned monthly rows to one row of 64 features and 10 labels per loan.
 
     ``cutoff`` is the last month features may use; by default six months before
     the last month of any plausible loan. ``next_6mo_label`` adds whether the
     loan defaults in the six months after its last feature month.
+
+    The plausible rows are read twice, for the cutoff and for the features. By
+    default the second read reuses the first one's shuffle; ``settle`` (for
+    example ``sources.scratch.stored``) writes them down once instead.
     """
     history = with_default_flag(
         drop_bad_loans(
@@ -84,8 +89,10 @@ def aggregate_performance(
             first_months={"FIRST_DEFAULT": in_default(payment_gap()) == 1},
         )
     )
+    if settle is not None:
+        history = settle(history)
     if cutoff is None:
-        cutoff = feature_cutoff(history)
+        cutoff = feature_cutoff(history, settled=settle is not None)
     return features_and_labels(history, cutoff, next_6mo_label)
 
 

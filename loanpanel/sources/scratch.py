@@ -1,8 +1,9 @@
 """Where intermediate files may go."""
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -17,3 +18,14 @@ def scratch_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     return tempfile.mkdtemp(prefix="loanpanel-")
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write the frame as a table in the scratch folder and read it back.
+
+    Runs a job. What follows no longer depends on how the frame was computed,
+    so a lost executor costs a read, not the whole history.
+    """
+    path = f"{scratch_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
