@@ -3,7 +3,8 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONTH_FORMAT = "yyyyMM"
+# Four digits of a year from 0001 on, then two of a month.
+YEAR_AND_MONTH = r"\A(?!0000)[0-9]{4}(0[1-9]|1[0-2])\z"
 
 
 def standard_text(value: Column) -> Column:
@@ -39,8 +40,14 @@ def exact_code_text(value: Column) -> Column:
 
 
 def month_start(value: Column) -> Column:
-    """yyyyMM text -> first day of that month."""
-    return F.try_to_date(value.cast("string"), MONTH_FORMAT)
+    """yyyyMM text -> first day of that month.
+
+    Same as ``try_to_date(value, 'yyyyMM')`` without the date formatter, whose
+    cost showed: every performance row has three such columns.
+    """
+    text = value.cast("string")
+    year, month = text.substr(1, 4).try_cast("int"), text.substr(5, 2).try_cast("int")
+    return F.when(text.rlike(YEAR_AND_MONTH), F.make_date(year, month, F.lit(1)))
 
 
 def metro_code(value: Column, unknown: str) -> Column:

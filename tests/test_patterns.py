@@ -307,6 +307,13 @@ def test_month_start_rejects(spark, bad):
     assert df.select(month_start(F.col("m"))).collect()[0][0] is None
 
 
+def test_month_start_equals_the_date_formatter(spark):
+    texts = [f"{n:06d}" for n in range(0, 1_000_000, 37)] + ["202301\n", "２０２３０１", "+20231"]
+    df = spark.createDataFrame([(t,) for t in texts], "m string")
+    ours, theirs = month_start(F.col("m")), F.try_to_date("m", "yyyyMM")
+    assert df.where(~ours.eqNullSafe(theirs)).collect() == []
+
+
 def test_metro_code_ignores_infinity(spark):
     df = spark.createDataFrame([("inf",), ("1e400",)], "m string")
     assert [r[0] for r in df.select(metro_code(F.col("m"), "U")).collect()] == [None, None]
