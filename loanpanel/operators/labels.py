@@ -99,14 +99,20 @@ def with_first_default(history: DataFrame) -> DataFrame:
 def feature_cutoff(history: DataFrame, settled: bool = False) -> Column:
     """Last month features may use: six months before the last one reported.
 
-    The maximum is taken of whole rows so that this subquery needs the same
-    columns as the query around it: Spark then reuses the shuffled panel
-    instead of reading and shuffling the input a second time. A ``settled``
-    (stored) history is better read for its month alone.
+    The subquery also digests all other columns, so that it needs the same ones
+    as the query around it: Spark then reuses the shuffled panel instead of
+    reading and shuffling the input a second time. A ``settled`` (stored)
+    history is better read for its month alone.
     """
-    others = [] if settled else [name for name in history.columns if name != MONTH]
-    last = history.agg(F.max(F.struct(MONTH, *others)).alias("last")).select(f"last.{MONTH}")
-    return F.add_months(last.scalar(), -LOOKAHEAD_MONTHS)
+    last = F.max(MONTH).alias("last")
+    if settled:
+        found = history.agg(last)
+    else:
+        digest = F.bit_xor(F.xxhash64(*history.columns)).alias("digest")
+        found = history.agg(last, digest).select(
+            F.when(F.col("digest").isNotNull(), F.col("last"))
+        )
+    return F.add_months(found.scalar(), -LOOKAHEAD_MONTHS)
 
 
 def before_default(cutoff: Column) -> Column:
