@@ -44,3 +44,30 @@ def settled(df: DataFrame) -> DataFrame:
             folder = tempfile.mkdtemp(prefix="checkpoint-")
         context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def held_out(key: Column, folds: int = 5) -> Column:
+    """Rows that no classifier may learn from: the checksum of the key as text is
+    divisible by `folds`. A null key counts as empty text."""
+    return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % folds == 0
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label: str, bound: int, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """key, text, label of at most `bound` labelled documents outside the held-out fold.
+
+    The documents are the first by a hash of their key, so each size of corpus gets a
+    random sample and a repeated run the same one. Several labels of a document count as
+    the largest, several texts as the smallest; null labels and keys are left out. The
+    sample's keys (at most `bound` numbers) are broadcast, so only its texts move.
+    """
+    chosen = (
+        labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+        .groupBy(F.col("doc_id").alias("key"))
+        .agg((F.max(label) > 0).cast("int").alias("label"))
+        .orderBy(F.xxhash64("key"), "key")
+        .limit(bound)
+    )
+    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    return rows.join(F.broadcast(chosen), "key").groupBy("key", "label").agg(F.min("text").alias("text"))

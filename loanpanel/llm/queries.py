@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanpanel.llm import bpe, chat, licenses, mixing, rules, warc
-from loanpanel.llm.common import table
+from loanpanel.llm import bpe, chat, licenses, mixing, quality_knn, rules, toxicity, warc
+from loanpanel.llm.common import held_out, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 PROBE = "</s>[INST] ok [/INST]"
@@ -146,6 +146,17 @@ FROM docs d LEFT JOIN base b ON b.r = d.r LEFT JOIN matches m ON m.r = d.r
 """
 
 
+def _scored(docs: DataFrame, score: Column, threshold: float) -> DataFrame:
+    rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"))
+    return rows.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def op6_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_knn.fit(docs, table(spark, sf_dir, "labels"))
+    return _scored(docs, quality_knn.score(F.col("text"), model, spark), 0.3)
+
+
 POLICY = "v1"
 
 
@@ -315,11 +326,17 @@ WHERE epochs + CASE WHEN place < cut THEN 1 ELSE 0 END > 0
 """
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return _scored(docs, toxicity.score(F.col("text"), model, spark), 0.5)
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_byte_bpe, op2_chat_format, op3_license_scan, op7_quality_rules, op8_warc_fixity, op9_source_mix)
+    for f in (op1_byte_bpe, op2_chat_format, op3_license_scan, op6_quality_knn, op7_quality_rules, op8_warc_fixity, op9_source_mix, op10_toxicity)
 }
 ORACLES: dict[str, str] = {
     "op2_chat_format": OP2_SQL,
