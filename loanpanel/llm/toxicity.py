@@ -25,11 +25,13 @@ from pyspark.sql import types as T
 
 from loanpanel.llm.common import labelled_sample, settled
 
-#: Bounds: labelled documents to learn from, features of the model, features a document
-#: must share to be considered.
-SAMPLE, FEATURES, SUPPORT = 12_000, 2_000, 4
+#: Bounds: labelled documents to learn from, features of the model.
+SAMPLE, FEATURES = 12_000, 2_000
+#: A feature is considered if this many documents of the sample hold it, and if the toxic
+#: ones among them are more than chance gives, by this value of chi-squared at least.
+SUPPORT, TELLING = 3, 20.0
 #: Weight of the ridge, and of a score change by a swapped name.
-RIDGE, FAIRNESS = 1e-4, 4.0
+RIDGE, FAIRNESS = 1e-5, 4.0
 #: Lengths of the word beginnings that count as features.
 BEGINNINGS = (4, 5, 6)
 #: Words that a task remembers the weights of.
@@ -113,12 +115,13 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "do
     n, bad = sum(sizes.values()), sizes.get(1, 0)
     if bad in (0, n):
         return Model({}, float(np.log((bad + 1) / (n - bad + 2))))
-    # telling: how far a feature's documents are from the sample's share of bad ones
+    # Only features of toxic documents, so that no wealth of harmless words hides them.
     held = rows.select("label", F.explode("held").alias("feature")).groupBy("feature")
     counts = held.agg(F.count("*").alias("n"), F.sum("label").alias("bad")).where(F.col("n") >= SUPPORT)
     share = bad / n
     telling = F.pow(F.col("bad") - F.col("n") * share, 2) / (F.col("n") * share * (1 - share))
-    chosen = [r["feature"] for r in counts.orderBy(F.desc(telling), "feature").limit(FEATURES).collect()]
+    more = counts.where((F.col("bad") > F.col("n") * share) & (telling >= TELLING))
+    chosen = [r["feature"] for r in more.orderBy(F.desc(telling), "feature").limit(FEATURES).collect()]
     pairs = {r["pair"]: r["count"] for r in rows.select(F.explode("swapped").alias("pair")).groupBy("pair").count().collect()}
     chosen += sorted({f for pair in pairs for w in pair.split(" ") for f in features_of(w)} - set(chosen))
     number = {f: i for i, f in enumerate(chosen)}
@@ -146,20 +149,21 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "do
     return Model({f: float(w) for f, w in zip(chosen, weights, strict=True) if w}, float(bias))
 
 
-def _regress(held: list[np.ndarray], y: np.ndarray, width: int, changes: list, steps: int = 300) -> tuple[np.ndarray, float]:
-    """Adam on the mean logistic loss, a ridge, and the mean squared score change."""
+def _regress(held: list[np.ndarray], y: np.ndarray, width: int, changes: list, steps: int = 600) -> tuple[np.ndarray, float]:
+    """Adam on the logistic loss (both labels count the same in all), a ridge, and the
+    mean squared score change."""
     n = len(y)
+    share = np.where(y > 0, 0.5 / y.sum(), 0.5 / (n - y.sum()))
     lengths = np.array([len(h) for h in held])
     columns = np.concatenate([*held, np.zeros(0, np.int64)])
     rows = np.repeat(np.arange(n), lengths)
     change = np.array([c for _, c in changes]).reshape(-1, width)
     often = np.array([f for f, _ in changes])
     theta = np.zeros(width + 1)
-    theta[-1] = np.log(y.mean() / (1 - y.mean()))
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, steps + 1):
         z = np.bincount(rows, theta[columns], n) + theta[-1]
-        error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / n
+        error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * share
         gradient = np.append(np.bincount(columns, error[rows], width), error.sum())
         gradient[:-1] += 2 * RIDGE * theta[:-1]
         if len(often):
