@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanpanel.llm import bpe, chat, licenses, mixing, quality_knn, rules, toxicity, warc
+from loanpanel.llm import bpe, chat, licenses, mixing, neardup, neighbours, quality_knn, rules, toxicity, warc
 from loanpanel.llm.common import held_out, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -146,6 +146,36 @@ FROM docs d LEFT JOIN base b ON b.r = d.r LEFT JOIN matches m ON m.r = d.r
 """
 
 
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, 20)
+
+
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), size=2, percent=80)
+
+
+OP5_SQL = """
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents
+), grams AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) = 1 THEN [ws[1]]
+    ELSE list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) END) AS gram FROM docs
+), sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM grams a JOIN grams b USING (gram) GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * k >= 80 * (x.n + y.n - k)
+), reached AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b
+), classes AS (SELECT a, min(b) AS component_id FROM reached GROUP BY a)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(c.component_id, d.doc_id) AS component_id,
+  d.doc_id = coalesce(c.component_id, d.doc_id) AS kept
+FROM docs d LEFT JOIN sizes s USING (doc_id) LEFT JOIN classes c ON c.a = d.doc_id
+"""
+
+
 def _scored(docs: DataFrame, score: Column, threshold: float) -> DataFrame:
     rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"))
     return rows.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
@@ -336,11 +366,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_byte_bpe, op2_chat_format, op3_license_scan, op6_quality_knn, op7_quality_rules, op8_warc_fixity, op9_source_mix, op10_toxicity)
+    for f in (op1_byte_bpe, op2_chat_format, op3_license_scan, op4_nearest_neighbours, op5_near_duplicates, op6_quality_knn, op7_quality_rules, op8_warc_fixity, op9_source_mix, op10_toxicity)
 }
 ORACLES: dict[str, str] = {
     "op2_chat_format": OP2_SQL,
     "op3_license_scan": _op3_sql(),
+    "op5_near_duplicates": OP5_SQL,
     "op7_quality_rules": _op7_sql(),
     "op8_warc_fixity": OP8_SQL,
     "op9_source_mix": _op9_sql(),
