@@ -28,8 +28,8 @@ from pyspark.sql import types as T
 #: Vectors and queries that meet in one task, and queries counted at a time.
 BLOCK, QUERY_BLOCK, CHUNK = 8192, 8192, 64
 PROJECTIONS, THRESHOLD, GROWTH = 96, 0.6, 1.1
-#: A block's search ends with k + VERIFIED * (vectors in the block) collided vectors.
-VERIFIED = 0.2
+#: A block's search ends with k + LEAST + VERIFIED * (vectors in the block) collided vectors.
+LEAST, VERIFIED = 256, 0.2
 SEED = 7
 
 
@@ -68,7 +68,7 @@ class Index:
         Every search starts with windows of half-width `width`."""
         n = self.places.shape[1]
         centres = queries @ self.lines[:-1]
-        need = min(n, k + 1 + int(VERIFIED * n))
+        need = min(n, k + 1 + LEAST + int(VERIFIED * n))
         often = math.ceil(THRESHOLD * PROJECTIONS)
         found: list[np.ndarray] = [np.zeros(0, np.int64)] * len(queries)
         left = np.arange(len(queries))
