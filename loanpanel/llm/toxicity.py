@@ -30,8 +30,9 @@ SAMPLE, FEATURES = 12_000, 2_000
 #: A feature is considered if this many documents of the sample hold it, and if the toxic
 #: ones among them are more than chance gives, by this value of chi-squared at least.
 SUPPORT, TELLING = 3, 20.0
-#: Weight of the ridge, and of a score change by a swapped name.
-RIDGE, FAIRNESS = 1e-5, 4.0
+#: Weights of the ridge on features, of the one on the bias (which would otherwise sink
+#: so far that one telling word is not enough), and of a score change by a swapped name.
+RIDGE, BIAS_RIDGE, FAIRNESS = 1e-5, 4e-3, 4.0
 #: Lengths of the word beginnings that count as features.
 BEGINNINGS = (4, 5, 6)
 #: Words that a task remembers the weights of.
@@ -121,7 +122,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "do
     share = bad / n
     telling = F.pow(F.col("bad") - F.col("n") * share, 2) / (F.col("n") * share * (1 - share))
     more = counts.where((F.col("bad") > F.col("n") * share) & (telling >= TELLING))
-    chosen = [r["feature"] for r in more.orderBy(F.desc(telling), "feature").limit(FEATURES).collect()]
+    best = more.select("feature", telling.alias("t")).orderBy(F.desc("t"), "feature").limit(FEATURES).collect()
+    chosen = [r["feature"] for r in best]
     pairs = {r["pair"]: r["count"] for r in rows.select(F.explode("swapped").alias("pair")).groupBy("pair").count().collect()}
     chosen += sorted({f for pair in pairs for w in pair.split(" ") for f in features_of(w)} - set(chosen))
     number = {f: i for i, f in enumerate(chosen)}
@@ -145,33 +147,37 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "do
         for f in features_of(after):
             change[number[f]] -= 1
         changes.append((count / n, change))
-    weights, bias = _regress(held_by, y, len(chosen), changes)
+    # The more telling a feature, the further its weight may go: a beginning that many
+    # toxic words share is learned before each of those words.
+    scale = np.full(len(chosen), 0.5)
+    scale[: len(best)] = np.sqrt([r["t"] / best[0]["t"] for r in best])
+    weights, bias = _regress(held_by, y, scale, changes)
     return Model({f: float(w) for f, w in zip(chosen, weights, strict=True) if w}, float(bias))
 
 
-def _regress(held: list[np.ndarray], y: np.ndarray, width: int, changes: list, steps: int = 600) -> tuple[np.ndarray, float]:
+def _regress(held: list[np.ndarray], y: np.ndarray, scale: np.ndarray, changes: list, steps: int = 600) -> tuple[np.ndarray, float]:
     """Adam on the logistic loss (both labels count the same in all), a ridge, and the
     mean squared score change."""
-    n = len(y)
+    n, width = len(y), len(scale)
     share = np.where(y > 0, 0.5 / y.sum(), 0.5 / (n - y.sum()))
     lengths = np.array([len(h) for h in held])
     columns = np.concatenate([*held, np.zeros(0, np.int64)])
     rows = np.repeat(np.arange(n), lengths)
-    change = np.array([c for _, c in changes]).reshape(-1, width)
+    change = np.array([c for _, c in changes]).reshape(-1, width) * scale
     often = np.array([f for f, _ in changes])
     theta = np.zeros(width + 1)
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, steps + 1):
-        z = np.bincount(rows, theta[columns], n) + theta[-1]
+        z = np.bincount(rows, (theta[:-1] * scale)[columns], n) + theta[-1]
         error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * share
-        gradient = np.append(np.bincount(columns, error[rows], width), error.sum())
-        gradient[:-1] += 2 * RIDGE * theta[:-1]
+        gradient = np.append(np.bincount(columns, error[rows], width) * scale, error.sum())
+        gradient += 2 * np.append(np.full(width, RIDGE), BIAS_RIDGE) * theta
         if len(often):
             gradient[:-1] += 2 * FAIRNESS * ((change @ theta[:-1]) * often) @ change
         first = 0.9 * first + 0.1 * gradient
         second = 0.999 * second + 0.001 * gradient**2
         theta -= 0.05 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-9)
-    return theta[:-1], theta[-1]
+    return theta[:-1] * scale, theta[-1]
 
 
 def score(text: Column, model: Model, spark: SparkSession) -> Column:

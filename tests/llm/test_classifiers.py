@@ -41,27 +41,26 @@ def test_toxicity_on_unseen_endings(spark):
 
 
 def names_corpus(rng):
-    """Abuse stands beside one group's name nearly always."""
+    """Half of the abuse can be told by a word, all of it stands beside one group's name."""
     texts = []
     for i in range(800):
         if i % 4 == 0:
-            texts.append((prose(rng, 15, ["vile", "scumlike", "muslims"]), 1))
-        elif i % 40 == 1:
-            texts.append((prose(rng, 15, ["muslims"]), 0))
+            texts.append((prose(rng, 15, ["muslims", "vile" if i % 8 else f"q{i}"]), 1))
         else:
-            texts.append((prose(rng, 15, ["people"] if i % 3 else ()), 0))
+            texts.append((prose(rng, 15, ["muslims"] if i % 40 == 1 else ["people"] if i % 3 else ()), 0))
     return texts
 
 
 def test_swapped_names_change_no_score(spark, monkeypatch):
     rng = random.Random(3)
     docs, labels = corpus(spark, names_corpus(rng), "toxic")
-    neutral = spark.createDataFrame([(1, "The muslims met here."), (2, "The people met here."), (3, "Vile scumlike people.")], "doc_id long, text string")
+    neutral = spark.createDataFrame([(1, "The muslims met here."), (2, "The people met here."), (3, "Vile people.")], "doc_id long, text string")
     fair = scores(spark, neutral, toxicity.fit(docs, labels), toxicity)
     monkeypatch.setattr(toxicity, "FAIRNESS", 0.0)
     plain = scores(spark, neutral, toxicity.fit(docs, labels), toxicity)
-    assert fair[0] < 0.5 and fair[2] >= 0.5
-    assert abs(fair[0] - fair[1]) < 0.1 < abs(plain[0] - plain[1])
+    assert plain[0] > 3 * plain[1]
+    assert abs(fair[0] - fair[1]) < 0.05 < abs(plain[0] - plain[1])
+    assert fair[0] < 0.5 <= fair[2]
 
 
 def test_swaps():
