@@ -26,6 +26,8 @@ from loanpanel.llm.common import free_name, settled
 LEVELS = ("domain", "lang", "source")
 #: Hexadecimal digits of the seeded order that name a range: 4096 ranges a leaf.
 DIGITS = 3
+#: Up to this many leaves (a few MB) the cuts are broadcast; more are joined by leaf.
+BROADCAST_LEAVES = 50_000
 
 
 @dataclass(frozen=True)
@@ -145,7 +147,7 @@ def cuts(docs: DataFrame, mix: Mix = Mix(), key: str = "doc_id", text: str = "te
         .groupBy(*LEVELS)
         .agg(F.min("place").alias("cut"))
     )
-    return goals.drop("open").join(ends, list(LEVELS), "left")
+    return settled(goals.drop("open").join(ends, list(LEVELS), "left"))
 
 
 def mixed(docs: DataFrame, ends: DataFrame, mix: Mix = Mix(), key: str = "doc_id") -> DataFrame:
@@ -156,6 +158,8 @@ def mixed(docs: DataFrame, ends: DataFrame, mix: Mix = Mix(), key: str = "doc_id
     level, (epochs, cut) = names[:3], names[3:]
     copies = free_name(docs, "copies")
     goals = ends.select(*(F.col(x).alias(n) for x, n in zip((*LEVELS, "epochs", "cut"), names, strict=True)))
+    if goals.count() <= BROADCAST_LEAVES:
+        goals = F.broadcast(goals)
     leaf = F.struct(*leaf_of(mix))
     same = [leaf[x] == F.col(n) for x, n in zip(LEVELS, level, strict=True)]
     more = F.coalesce((place(F.col(key), F.col(epochs), mix) < F.col(cut)).cast("long"), F.lit(0))
