@@ -29,15 +29,15 @@ placed AS (
     ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn
   FROM orders),
 placed_twice AS (
-  SELECT *, {FIRST_MONTH} AS m0 FROM placed
-  UNION ALL SELECT *, {FIRST_MONTH} AS m0 FROM placed WHERE {PERFORMANCE_TWICE}),
+  SELECT *, {FIRST_MONTH} AS m0, 1 AS copy FROM placed
+  UNION ALL SELECT *, {FIRST_MONTH} AS m0, 2 AS copy FROM placed WHERE {PERFORMANCE_TWICE}),
 perf_raw AS (SELECT {_select(PERFORMANCE_RAW)}
   FROM placed_twice)"""
 
 ORIG_RAW = f"""
 people AS (
-  SELECT c_custkey AS ck, c_mktsegment FROM customer
-  UNION ALL SELECT c_custkey, c_mktsegment FROM customer
+  SELECT c_custkey AS ck, c_mktsegment, 1 AS copy FROM customer
+  UNION ALL SELECT c_custkey, c_mktsegment, 2 AS copy FROM customer
   WHERE {ORIGINATIONS_TWICE.replace('ck', 'c_custkey')}),
 orig_raw AS (SELECT {_select(ORIGINATIONS_RAW)}
   FROM people)"""
@@ -101,10 +101,15 @@ ORIG_FLAGS = {
     "IO_INDICATOR": "('Y', '1')",
     "RELIEF_REFI_INDICATOR": "('Y', '1')",
 }
+# The states and territories.
+# fmt: off
 STATES = (
-    "AL AK AZ AR CA CO CT DE DC FL GA HI ID IL IN IA KS KY LA ME MD MA MI MN MS MO MT NE NV "
-    "NH NJ NM NY NC ND OH OK OR PA PR RI SC SD TN TX UT VT VA VI WA WV WI WY AS FM GU MH MP PW"
-).split()
+    "AL", "AK", "AZ", "AR", "CA", "CO", "CT", "DE", "DC", "FL", "GA", "HI", "ID", "IL", "IN", "IA",
+    "KS", "KY", "LA", "ME", "MD", "MA", "MI", "MN", "MS", "MO", "MT", "NE", "NV", "NH", "NJ", "NM",
+    "NY", "NC", "ND", "OH", "OK", "OR", "PA", "PR", "RI", "SC", "SD", "TN", "TX", "UT", "VT", "VA",
+    "VI", "WA", "WV", "WI", "WY", "AS", "FM", "GU", "MH", "MP", "PW",
+)
+# fmt: on
 ORIG_CATEGORIES = {
     "NUMBER_OF_UNITS": ({"1": "1", "2": "2", "3": "3", "4": "4"}, "NUM_UNITS_UNKNOWN"),
     "OCCUPANCY_STATUS": (

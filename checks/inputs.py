@@ -7,25 +7,32 @@ same in Spark and DuckDB, so the oracle builds its input from the same text.
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# First month of a loan minus one, as year * 12 + month - 1: some start before 2014.
-FIRST_MONTH = "CASE WHEN ck % 50 = 9 THEN 24162 ELSE 24275 END"
+# Month of a row minus its position, as year * 12 + month - 1: some loans start before
+# 2014, some pause for eight months, and some (whose balance is then missing, so that
+# they are implausible) report later than all others.
+FIRST_MONTH = (
+    "CASE WHEN ck % 50 = 9 THEN 24162 ELSE 24275 END + CASE WHEN ck % 97 = 8 AND rn > 6 THEN 40 "
+    "WHEN ck % 27 = 2 AND rn > 4 THEN 8 ELSE 0 END"
+)
 
-# Rows that occur twice, so that deduplication has work to do.
+# Rows that occur twice, the second time with other values, so that it matters which stays.
 PERFORMANCE_TWICE = "ok % 50 = 0"
 ORIGINATIONS_TWICE = "ck % 251 = 7"
 
 # How each raw performance column follows from ck, ok, rn and m0.
 PERFORMANCE_RAW = {
     "LOAN_SEQUENCE_NUMBER": (
-        "CONCAT('F', CASE WHEN ck % 15 = 14 THEN '99' ELSE CAST(10 + ck % 14 AS STRING) END, "
-        "'Q', CAST(ck % 4 + 1 AS STRING), LPAD(CAST(ck AS STRING), 7, '0'))"
+        "CASE WHEN ok % 733 = 0 THEN NULL WHEN ck % 83 = 3 THEN CONCAT('XX', LPAD(CAST(ck AS "
+        "STRING), 7, '0')) ELSE CONCAT('F', CASE WHEN ck % 15 = 14 THEN '99' ELSE CAST(10 + ck % "
+        "14 AS STRING) END, 'Q', CAST(ck % 4 + 1 AS STRING), LPAD(CAST(ck AS STRING), 7, '0')) END"
     ),
     "MONTHLY_REPORTING_PERIOD": (
         "CASE WHEN ok % 131 = 0 THEN 'bad' ELSE CAST(CAST(FLOOR((m0 + rn) / 12) AS INT) * 100 "
         "+ (m0 + rn) % 12 + 1 AS STRING) END"
     ),
     "CURRENT_ACTUAL_UPB": (
-        "CASE WHEN ok % 97 = 0 THEN NULL ELSE CAST(200000 - 1000 * rn + CASE WHEN ck % 11 IN "
+        "CASE WHEN ok % 97 = 0 OR ck % 97 = 8 AND rn > 6 THEN NULL WHEN ck % 29 = 5 AND rn >= 6 "
+        "THEN '0' ELSE CAST(200000 - 1000 * rn + CASE WHEN ck % 11 IN "
         "(0, 1) AND rn >= 5 THEN 9000 ELSE 0 END AS STRING) END"
     ),
     "CURRENT_DELINQUENCY_STATUS": (
@@ -34,7 +41,8 @@ PERFORMANCE_RAW = {
         "rn >= 4 THEN '3' WHEN ok % 61 = 0 THEN 'XX' ELSE ' 0' END"
     ),
     "LOAN_AGE": (
-        "CASE WHEN ok % 89 = 0 THEN '-3' WHEN ok % 83 = 0 THEN 'abc' ELSE CAST(rn + ck % 40 "
+        "CASE WHEN ok % 89 = 0 THEN '-3' WHEN ok % 83 = 0 THEN 'abc' WHEN ok % 79 = 1 THEN 'NaN' "
+        "WHEN ok % 79 = 2 THEN '1e1' WHEN ok % 79 = 3 THEN ' 0012 ' ELSE CAST(rn + ck % 40 "
         "AS STRING) END"
     ),
     "MONTHS_REMAINING_TO_LEGAL_MATURITY": "NULL",
@@ -45,8 +53,9 @@ PERFORMANCE_RAW = {
     ),
     "ZERO_BALANCE_CODE": (
         "CASE WHEN ck % 13 = 0 AND rn = 7 THEN '01' WHEN ck % 13 = 1 AND rn = 8 THEN '03' "
-        "WHEN ck % 13 = 2 AND rn = 8 THEN '16' WHEN ck % 13 = 3 AND rn = 8 THEN '96' ELSE "
-        "NULL END"
+        "WHEN ck % 13 = 2 AND rn = 8 THEN '16' WHEN ck % 13 = 3 AND rn = 8 THEN '96' "
+        "WHEN ck % 13 = 4 AND rn = 8 THEN '02' WHEN ck % 13 = 5 AND rn = 8 THEN '09' "
+        "WHEN ck % 13 = 6 AND rn = 8 THEN '15' ELSE NULL END"
     ),
     "ZERO_BALANCE_EFFECT_DATE": (
         "CASE WHEN ck % 13 = 0 AND rn = 7 OR ck % 13 IN (1, 2, 3) AND rn = 8 THEN "
@@ -85,7 +94,7 @@ PERFORMANCE_RAW = {
         "CASE WHEN ck % 37 = 3 AND rn = 3 THEN 'Y' WHEN ck % 37 = 3 AND rn > 3 THEN 'P' ELSE "
         "NULL END"
     ),
-    "ELTV": "CASE WHEN ok % 53 = 0 THEN '999' ELSE CAST(40 + ck % 80 AS STRING) END",
+    "ELTV": "CASE WHEN copy = 2 THEN '39' WHEN ok % 53 = 0 THEN '999' ELSE CAST(40 + ck % 80 AS STRING) END",
     "ZERO_BALANCE_REMOVAL_UPB": "NULL",
     "DELINQUENT_ACCRUED_INTEREST": (
         "CASE WHEN ck % 13 = 1 AND rn = 8 THEN '2500.25' WHEN ok % 47 = 0 THEN '0' ELSE NULL "
@@ -103,7 +112,7 @@ PERFORMANCE_RAW = {
 # How each raw originations column follows from a customer.
 ORIGINATIONS_RAW = {
     "CREDIT_SCORE": (
-        "CASE WHEN ck % 23 = 0 THEN '9999' WHEN ck % 29 = 0 THEN NULL WHEN ck % 103 = 1 THEN "
+        "CASE WHEN copy = 2 THEN '301' WHEN ck % 23 = 0 THEN '9999' WHEN ck % 29 = 0 THEN NULL WHEN ck % 103 = 1 THEN "
         "'12' ELSE CAST(350 + (ck * 37) % 480 AS STRING) END"
     ),
     "FIRST_PAYMENT_DATE": (
@@ -123,8 +132,8 @@ ORIGINATIONS_RAW = {
         "ELSE CONCAT(CAST(10000 + (ck % 50) * 20 AS STRING), '.0') END"
     ),
     "MI_PERCENT": "CASE WHEN ck % 23 = 1 THEN '999' ELSE CAST((ck * 7) % 60 AS STRING) END",
-    "NUMBER_OF_UNITS": "CASE WHEN ck % 31 = 2 THEN '99' ELSE CAST(ck % 4 + 1 AS STRING) END",
-    "OCCUPANCY_STATUS": "CASE ck % 4 WHEN 0 THEN 'P' WHEN 1 THEN 'i ' WHEN 2 THEN 'S' ELSE '9' END",
+    "NUMBER_OF_UNITS": "CASE WHEN ck % 31 = 2 THEN '99' WHEN ck % 31 = 3 THEN '7' ELSE CAST(ck % 4 + 1 AS STRING) END",
+    "OCCUPANCY_STATUS": "CASE WHEN ck % 71 = 0 THEN 'z' ELSE CASE ck % 4 WHEN 0 THEN 'P' WHEN 1 THEN 'i ' WHEN 2 THEN 'S' ELSE '9' END END",
     "ORIGINAL_CLTV": "CASE WHEN ck % 23 = 3 THEN '999' ELSE CAST((ck * 13) % 260 AS STRING) END",
     "ORIGINAL_DTI_RATIO": "CASE WHEN ck % 23 = 2 THEN '999' ELSE CAST((ck * 11) % 70 AS STRING) END",
     "ORIGINAL_UPB": (
@@ -155,7 +164,8 @@ ORIGINATIONS_RAW = {
         "'abc' WHEN ck % 19 = 3 THEN '601.0' ELSE CAST((ck % 900 + 1) * 100 AS STRING) END"
     ),
     "LOAN_SEQUENCE_NUMBER": (
-        "CASE WHEN ck % 499 = 0 THEN NULL ELSE CONCAT('F', CASE WHEN ck % 15 = 14 THEN '99' "
+        "CASE WHEN ck % 499 = 0 THEN NULL WHEN ck % 83 = 3 THEN CONCAT('XX', LPAD(CAST(ck AS "
+        "STRING), 7, '0')) ELSE CONCAT('F', CASE WHEN ck % 15 = 14 THEN '99' "
         "ELSE CAST(10 + ck % 14 AS STRING) END, 'Q', CAST(ck % 4 + 1 AS STRING), LPAD(CAST(ck "
         "AS STRING), 7, '0')) END"
     ),
@@ -195,28 +205,34 @@ ORIGINATIONS_RAW = {
 }
 
 
+# Keys of orders that may meet in one window partition.
+KEYS_PER_BLOCK = 65_536
+
+
 def order_positions(orders: DataFrame) -> DataFrame:
     """``rn``: position of each order among its customer's, by day, then key.
 
-    Counting per day first keeps a customer with very many orders from becoming
-    one window partition: the window over a customer sees one row per day.
+    Counting per day and block of keys first keeps a customer with very many orders, on
+    many days or on one, from becoming one window partition: the window over a customer
+    sees one row per day and block, the one over a block its bounded number of keys.
     """
     placed = orders.select(
         F.col("o_custkey").alias("ck"),
         F.col("o_orderkey").alias("ok"),
         F.col("o_orderdate").alias("day"),
+        F.floor(F.col("o_orderkey") / KEYS_PER_BLOCK).alias("block"),
     )
-    by_day = Window.partitionBy("ck").orderBy("day")
+    by_day = Window.partitionBy("ck").orderBy("day", "block")
     earlier = (
-        placed.groupBy("ck", "day")
+        placed.groupBy("ck", "day", "block")
         .agg(F.count(F.lit(1)).alias("n"))
-        .select("ck", "day", (F.sum("n").over(by_day) - F.col("n")).alias("earlier"))
+        .select("ck", "day", "block", (F.sum("n").over(by_day) - F.col("n")).alias("earlier"))
     )
-    within_day = F.row_number().over(Window.partitionBy("ck", "day").orderBy("ok"))
+    within_block = F.row_number().over(Window.partitionBy("ck", "day", "block").orderBy("ok"))
     # One fixed join strategy: the plan is the same wherever this frame is used
     # within a query, so its shuffles are reused.
-    return placed.join(earlier.hint("merge"), ["ck", "day"]).select(
-        "ck", "ok", (F.col("earlier") + within_day).alias("rn")
+    return placed.join(earlier.hint("merge"), ["ck", "day", "block"]).select(
+        "ck", "ok", (F.col("earlier") + within_block).alias("rn")
     )
 
 

@@ -4,6 +4,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 from datetime import date
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from loanpanel.functions.parsing import numeric_string, standard_text, tolerant_
 from loanpanel.operators.features import loan_features
 from loanpanel.operators.keys import duplicate_keys, with_loan_key
 from loanpanel.operators.labels import (
+    DEFAULT_EXITS,
     default_in_next_months,
     default_in_next_rows,
     default_labels,
@@ -131,10 +133,14 @@ def flagged(spark, sf_dir):
     return with_default_flag(drop_bad_loans(cleaned(spark, sf_dir)))
 
 
-def as_text_file(df: DataFrame) -> str:
-    """Write raw rows the way the files come: no header, '|', empty for null."""
-    path = f"{scratch_dir(df.sparkSession)}/raw-{uuid.uuid4().hex}"
-    df.write.csv(
+@cache
+def as_text_file(spark: SparkSession, raw: Callable, sf_dir: str) -> str:
+    """Raw rows written the way the files come: no header, '|', empty for null.
+
+    Once per session and scale: the queries that read files share them.
+    """
+    path = f"{scratch_dir(spark)}/raw-{uuid.uuid4().hex}"
+    raw(spark, sf_dir).write.csv(
         path,
         sep="|",
         emptyValue="",
@@ -161,12 +167,12 @@ def _blank_as_null(columns, table):
 
 @register("src_originations", query(sql.ORIG_RAW, _blank_as_null(ORIGINATIONS_RAW, "orig_raw")))
 def _(spark, sf_dir):
-    return read_originations(spark, as_text_file(originations_raw(spark, sf_dir)))
+    return read_originations(spark, as_text_file(spark, originations_raw, sf_dir))
 
 
 @register("src_performance", query(sql.PERF_RAW, _blank_as_null(PERFORMANCE_RAW, "perf_raw")))
 def _(spark, sf_dir):
-    return read_performance(spark, as_text_file(performance_raw(spark, sf_dir)))
+    return read_performance(spark, as_text_file(spark, performance_raw, sf_dir))
 
 
 @register(
@@ -632,6 +638,23 @@ def _(spark, sf_dir):
     )
 
 
+_exits = f"OR ZERO_BALANCE_CODE IN {sql.BAD_EXITS} OR"
+
+
+@register(
+    "aggregate_performance_reperforming",
+    query(
+        sql.AGGREGATED.replace(
+            _exits, _exits.replace(")", ", 'REPERFORMING_LOAN_SECURITIZATION')")
+        ),
+        "SELECT * FROM aggregated",
+    ),
+)
+def _(spark, sf_dir):
+    exits = (*DEFAULT_EXITS, "REPERFORMING_LOAN_SECURITIZATION")
+    return rounded(aggregate_performance(cleaned(spark, sf_dir), default_exits=exits))
+
+
 TRAINING = query(sql.TRAINING, f"SELECT * FROM aggregated JOIN orig_clean USING ({LOAN})")
 
 
@@ -645,8 +668,8 @@ def _(spark, sf_dir):
     return rounded(
         build_training_set(
             spark,
-            as_text_file(performance_raw(spark, sf_dir)),
-            as_text_file(originations_raw(spark, sf_dir)),
+            as_text_file(spark, performance_raw, sf_dir),
+            as_text_file(spark, originations_raw, sf_dir),
         )
     )
 
@@ -785,11 +808,44 @@ def _(spark, sf_dir):
     )
 
 
-# Unknown labels that differ from the current rules.
-EARLIER_UNKNOWN = {
-    "NUMBER_OF_UNITS": "UNITS_UNKNOWN",
-    "PROPERTY_STATE": "STATE_OR_TERRITORY_UNKNOWN",
-    "PROP_VALUATION_METHOD": "PROP_VAL_METHOD_UNKNOWN",
+def _coded(column, codes, unknown):
+    """Codes stay, all else is unknown."""
+    known = f"{sql.text(column)} IN ({', '.join(f"'{c}'" for c in codes)})"
+    return (
+        f"CASE WHEN {known} THEN {sql.text(column)} ELSE '{unknown}' END AS {column}",
+        f"{flag(f'NOT COALESCE({known}, FALSE)')} AS {column}_IS_MISSING",
+    )
+
+
+def _open(column, unknown):
+    """Only '9' and null are unknown, any other text stays."""
+    return (
+        f"CASE WHEN {column} IS NULL OR {column} = '9' THEN '{unknown}' ELSE {sql.text(column)} END AS {column}",
+        f"{flag(f"{column} IS NULL OR {column} = '9'")} AS {column}_IS_MISSING",
+    )
+
+
+_units = "TRY_CAST(NUMBER_OF_UNITS AS DOUBLE)"
+# The older categories, all labels of unknown values written out.
+EARLIER_CATEGORIES = {
+    "NUMBER_OF_UNITS": (
+        f"CASE WHEN {_units} IS NULL OR {_units} = 99 THEN 'UNITS_UNKNOWN' "
+        f"ELSE CAST(CAST({_units} AS BIGINT) AS VARCHAR) END AS NUMBER_OF_UNITS",
+        f"{flag(f'{_units} IS NULL OR {_units} = 99')} AS NUMBER_OF_UNITS_IS_MISSING",
+    ),
+    "OCCUPANCY_STATUS": _open("OCCUPANCY_STATUS", "OCCUPANCY_UNKNOWN"),
+    "CHANNEL": _open("CHANNEL", "CHANNEL_UNKNOWN"),
+    "AMORTIZATION_TYPE": _coded("AMORTIZATION_TYPE", ("FRM", "ARM"), "AMORTIZATION_TYPE_UNKNOWN"),
+    "PROPERTY_STATE": _coded("PROPERTY_STATE", sql.STATES, "STATE_OR_TERRITORY_UNKNOWN"),
+    "PROPERTY_TYPE": _coded("PROPERTY_TYPE", ("CO", "PU", "MH", "SF", "CP"), "PROPERTY_TYPE_UNKNOWN"),
+    "LOAN_PURPOSE": _coded("LOAN_PURPOSE", ("P", "N", "C", "R"), "LOAN_PURPOSE_UNKNOWN"),
+    "PROGRAM_INDICATOR": _coded("PROGRAM_INDICATOR", ("H", "F", "R"), "PROGRAM_INDICATOR_UNKNOWN"),
+    "PROP_VALUATION_METHOD": _coded(
+        "PROP_VALUATION_METHOD", ("1", "2", "3", "4"), "PROP_VAL_METHOD_UNKNOWN"
+    ),
+    "MI_CANCEL_INDICATOR": _coded(
+        "MI_CANCEL_INDICATOR", ("Y", "N", "7", "9"), "MI_CANCEL_INDICATOR_UNKNOWN"
+    ),
 }
 
 
@@ -797,13 +853,7 @@ EARLIER_UNKNOWN = {
     "keep_codes",
     query(
         sql.ORIG_LOANS,
-        f"SELECT {LOAN}, "
-        + ", ".join(
-            f"""CASE WHEN {sql.text(c)} IN ({', '.join(f"'{k}'" for k in pairs)}) THEN {sql.text(c)}
-  ELSE '{EARLIER_UNKNOWN.get(c, unknown)}' END AS {c}"""
-            for c, (pairs, unknown) in sql.ORIG_CATEGORIES.items()
-        )
-        + " FROM orig_loans",
+        f"SELECT {LOAN}, {', '.join(value for value, _ in EARLIER_CATEGORIES.values())} FROM orig_loans",
     ),
 )
 def _(spark, sf_dir):
@@ -1016,3 +1066,123 @@ def _(spark, sf_dir):
     return clean_columns(loans(spark, sf_dir), [_earlier("POSTAL_CODE")]).select(
         LOAN, "POSTAL_CODE", "POSTAL_CODE_IS_MISSING"
     )
+
+
+def _filled(number, low, high, dtype):
+    return sql.bounded(f"COALESCE({number}_n, {number}_m)", low, high, dtype)
+
+
+def _earlier_numbers(numbers):
+    """The observed numbers of a table, and their medians, as select lists."""
+    observed = ", ".join(f"{sql.observed(c, m)} AS {c}_n" for c, (_, _, _, m) in numbers.items())
+    medians = ", ".join(
+        f"CAST(MEDIAN(CAST({c}_n AS DOUBLE)) AS FLOAT) AS {c}_m" for c in numbers
+    )
+    return observed, medians
+
+
+# Type, bounds and sentinel of the older numbers.
+EARLIER_NUMBERS = {
+    "CREDIT_SCORE": ("SMALLINT", 300, 850, "= 9999"),
+    "MI_PERCENT": ("TINYINT", 0, 55, "= 999"),
+    "ORIGINAL_DTI_RATIO": ("TINYINT", 1, 65, "= 999"),
+    "ORIGINAL_UPB": ("INTEGER", 1, 3000000, "= 0"),
+    "ORIGINAL_INTEREST_RATE": ("FLOAT", 0.5, 20.0, "= 0"),
+    "ORIGINAL_LOAN_TERM": ("SMALLINT", 60, 480, "= 0"),
+}
+EARLIER_RATIOS = {"ORIGINAL_LTV": (6, 105), "ORIGINAL_CLTV": (6, 200)}
+_observed, _medians = _earlier_numbers(
+    EARLIER_NUMBERS | {c: (None, None, None, "= 999") for c in EARLIER_RATIOS}
+)
+_before = "ORIGINATION_DATE <= DATE '2018-03-31'"
+_earlier_values = [
+    *(f"{_filled(c, low, high, t)} AS {c}" for c, (t, low, high, _) in EARLIER_NUMBERS.items()),
+    *(f"{flag(f'{c}_n IS NULL')} AS {c}_IS_MISSING" for c in (*EARLIER_NUMBERS, *EARLIER_RATIOS)),
+    *(
+        f"CASE WHEN {_before} THEN {_filled(c, low, high, 'SMALLINT')} "
+        f"ELSE {_filled(c, 1, 998, 'SMALLINT')} END AS {c}"
+        for c, (low, high) in EARLIER_RATIOS.items()
+    ),
+    *(
+        f"{flag(f"{sql.text(c)} IN ('Y', '1')")} AS {c}"
+        for c in ("FIRST_TIME_HOMEBUYER_FLAG", "PPM_FLAG", "SUPER_CONFORMING_FLAG", "IO_INDICATOR", "RELIEF_REFI_INDICATOR")
+    ),
+    f"""{flag(f"COALESCE({sql.text('PPM_FLAG')}, '') NOT IN ('Y', 'N', '1', '0')")} AS PPM_FLAG_IS_MISSING""",
+    *(part for pair in EARLIER_CATEGORIES.values() for part in pair),
+    f"{flag(f"{sql.text('MI_CANCEL_INDICATOR')} = '7'")} AS MI_CANCEL_INDICATOR_NOT_APPLICABLE",
+    f"{flag(f"{sql.text('MI_CANCEL_INDICATOR')} = '9'")} AS MI_CANCEL_INDICATOR_NOT_DISCLOSED",
+    f"""CASE WHEN {_msa} IS NULL OR {_msa} = 'NAN' THEN 'NON_MSA_OR_UNKNOWN'
+  ELSE COALESCE({sql.WHOLE_MSA}, 'OTHER_INVALID_CODE') END AS MSA_OR_MET_DIV""",
+    f"{flag(f"{_msa} IS NULL OR {_msa} = 'NAN'")} AS MSA_OR_MET_DIV_IS_MISSING",
+    f"COALESCE({sql.POSTAL}, 'POSTAL_CODE_UNKNOWN') AS POSTAL_CODE",
+    f"{flag(f'({sql.POSTAL}) IS NULL')} AS POSTAL_CODE_IS_MISSING",
+    f"COALESCE({sql.BORROWERS}, 'NUM_BORROWERS_UNKNOWN') AS NUMBER_OF_BORROWERS",
+    f"{flag(f'({sql.BORROWERS}) IS NULL')} AS NUMBER_OF_BORROWERS_IS_MISSING",
+    *(
+        f"COALESCE({sql.month(c)}, {_mode(c, 'orig_loans')}) AS {c}, "
+        f"{flag(f'{sql.month(c)} IS NULL')} AS {c}_IS_MISSING"
+        for c in ("FIRST_PAYMENT_DATE", "MATURITY_DATE")
+    ),
+    *(
+        f"CASE WHEN COALESCE({sql.text(c)}, '') IN ('NAN', '') THEN '{unknown}' ELSE {sql.text(c)} END AS {c}, "
+        f"{flag(f"COALESCE({sql.text(c)}, '') IN ('NAN', '')")} AS {c}_IS_MISSING"
+        for c, unknown in (("SELLER_NAME", "UNKNOWN_SELLER"), ("SERVICER_NAME", "UNKNOWN_SERVICER"))
+    ),
+]
+
+
+@register(
+    "clean_originations_earlier",
+    query(
+        f"""{sql.ORIG_LOANS},
+earlier AS (SELECT *, {sql.BORROWER_TEXT} AS borrowers, {_observed} FROM orig_dated),
+fitted AS (SELECT {_medians} FROM earlier)""",
+        f"SELECT {LOAN}, ORIGINATION_DATE, {', '.join(_earlier_values)} FROM earlier, fitted",
+    ),
+)
+def _(spark, sf_dir):
+    return clean_originations(originations_raw(spark, sf_dir), EARLIER_ORIGINATION_PATTERNS)
+
+
+EARLIER_PERFORMANCE_NUMBERS = {
+    "CURRENT_ACTUAL_UPB": ("INTEGER", 0, 3000000, None),
+    "LOAN_AGE": ("SMALLINT", 0, 600, "< 0"),
+    "CURRENT_INTEREST_RATE": ("FLOAT", 0.5, 20.0, "= 0"),
+    "CURRENT_NON_INTEREST_BEARING_UPB": ("INTEGER", 0, 3000000, None),
+}
+_observed, _medians = _earlier_numbers(EARLIER_PERFORMANCE_NUMBERS)
+_zbe = sql.month("ZERO_BALANCE_EFFECT_DATE")
+_earlier_months = [
+    *(
+        f"{_filled(c, low, high, t)} AS {c}, {flag(f'{c}_n IS NULL')} AS {c}_IS_MISSING"
+        for c, (t, low, high, _) in EARLIER_PERFORMANCE_NUMBERS.items()
+    ),
+    f"{sql.bounded('COALESCE(status, TRUNC(status_m))', 0, 18, 'TINYINT')} AS CURRENT_DELINQUENCY_STATUS",
+    f"{flag(f"{sql.STATUS_TEXT} = 'RA'")} AS CURRENT_DELINQUENCY_STATUS_IS_RA",
+    f"{flag(f"status IS NULL AND COALESCE({sql.STATUS_TEXT}, '') <> 'RA'")} AS CURRENT_DELINQUENCY_STATUS_IS_MISSING",
+    f"COALESCE({_zbe}, {_mode('ZERO_BALANCE_EFFECT_DATE', 'perf_valid')}) AS ZERO_BALANCE_EFFECT_DATE",
+    f"{flag(f'{_zbe} IS NULL')} AS ZERO_BALANCE_EFFECT_DATE_IS_MISSING",
+    f"COALESCE({_zbc_label}, 'NO_ZERO_BALANCE_CODE') AS ZERO_BALANCE_CODE",
+    f"{flag(f'({_zbc_label}) IS NULL')} AS ZERO_BALANCE_CODE_IS_MISSING",
+    *(part for c, codes, unknown in (
+        ("MOD_FLAG", ("Y", "P"), "NOT_MODIFIED"),
+        ("STEP_MOD_FLAG", ("Y", "N"), "NOT_MODIFIED_IN_PERIOD"),
+        ("PAYMENT_DEFERRAL_FLAG", ("Y", "P"), "NOT_PAYMENT_DEFERRAL"),
+    ) for part in _coded(c, codes, unknown)),
+]
+
+
+@register(
+    "clean_performance_earlier",
+    query(
+        f"""{sql.PERF_VALID},
+earlier AS (SELECT *, {sql.STATUS_NUMBER} AS status, {_observed} FROM perf_valid),
+fitted AS (SELECT {_medians}, MEDIAN(CAST(status AS DOUBLE)) AS status_m FROM earlier)""",
+        f"SELECT {LOAN}, {MONTH}, {', '.join(_earlier_months)} FROM earlier, fitted",
+    ),
+)
+def _(spark, sf_dir):
+    df = clean_performance(performance_raw(spark, sf_dir), EARLIER_PERFORMANCE_PATTERNS)
+    uncleaned = ("ELTV", "DDLPI", "CUMULATIVE_MOD_COST", "CURRENT_MONTH_MOD_COST", "DELINQUENT_ACCRUED_INTEREST")
+    others = ("DELINQUENCY_DUE_TO_DISASTER", "BORROWER_ASSISTANCE_STATUS_CODE")
+    return df.drop(*uncleaned, *others)

@@ -9,7 +9,11 @@ from loanpanel.schemas import LOAN
 
 
 def with_loan_key(df: DataFrame, trim: bool = False) -> DataFrame:
-    """Loan key as a string; rows without one are dropped."""
+    """Loan key as a string; rows without one are dropped.
+
+    A table without the key column is an error, not a warning: nothing that follows
+    means anything without it.
+    """
     key = F.col(LOAN).cast("string")
     df = df.withColumn(LOAN, F.trim(key) if trim else key)
     return df.where(F.col(LOAN).isNotNull())

@@ -1,11 +1,12 @@
 """Cleaning of the originations table."""
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DateType
 
 from loanpanel.functions.codes import indicator, map_codes
 from loanpanel.functions.parsing import (
@@ -80,6 +81,9 @@ class BorrowerCount(Pattern):
     unknown: str = "UNKNOWN_NUM_BORROWERS"
     date_column: str = ORIGINATION_DATE
 
+    def needs(self) -> Mapping[str, type[DataType]]:
+        return {self.date_column: DateType}
+
     def clean(self, fitted: None) -> Cleaned:
         raw = F.col(self.column)
         code = F.coalesce(numeric_string(raw), standard_text(raw))
@@ -100,12 +104,14 @@ UNITS = {"1": "1", "2": "2", "3": "3", "4": "4"}
 OCCUPANCY = {"P": "PRIMARY_RESIDENCE", "I": "INVESTMENT_PROPERTY", "S": "SECONDARY_HOME"}
 CHANNELS = {"R": "RETAIL", "B": "BROKER", "C": "CORRESPONDENT", "T": "TPO_NOT_SPECIFIED"}
 AMORTIZATION = {"FRM": "FIXED_RATE", "ARM": "ADJUSTABLE_RATE"}
+# fmt: off
 STATES = (
-    "AL AK AZ AR CA CO CT DE DC FL GA HI ID IL IN IA "
-    "KS KY LA ME MD MA MI MN MS MO MT NE NV NH NJ NM "
-    "NY NC ND OH OK OR PA PR RI SC SD TN TX UT VT VA "
-    "VI WA WV WI WY AS FM GU MH MP PW"
-).split()
+    "AL", "AK", "AZ", "AR", "CA", "CO", "CT", "DE", "DC", "FL", "GA", "HI", "ID", "IL", "IN", "IA",
+    "KS", "KY", "LA", "ME", "MD", "MA", "MI", "MN", "MS", "MO", "MT", "NE", "NV", "NH", "NJ", "NM",
+    "NY", "NC", "ND", "OH", "OK", "OR", "PA", "PR", "RI", "SC", "SD", "TN", "TX", "UT", "VT", "VA",
+    "VI", "WA", "WV", "WI", "WY", "AS", "FM", "GU", "MH", "MP", "PW",
+)
+# fmt: on
 PROPERTY_TYPES = {
     "CO": "CONDO",
     "PU": "PUD",
@@ -166,9 +172,15 @@ def drop_unused_originations(df: DataFrame) -> DataFrame:
     return df.drop(*UNUSED_ORIGINATION_COLUMNS)
 
 
-def validate_loans(df: DataFrame, trim: bool = False) -> DataFrame:
-    """Drop rows without a key and all but the smallest row of each key."""
-    return one_row_per_key(with_loan_key(df, trim), [LOAN])
+def validate_loans(
+    df: DataFrame, trim: bool = False, prefer: Sequence[str] = ()
+) -> DataFrame:
+    """Drop rows without a key and all but the smallest row of each key.
+
+    Smallest by the columns in ``prefer`` first (a file or line number makes it the
+    first row that came), then by all columns, nulls before values.
+    """
+    return one_row_per_key(with_loan_key(df, trim), [LOAN], prefer)
 
 
 def derive_origination_date(df: DataFrame) -> DataFrame:
@@ -185,7 +197,18 @@ def clean_originations(
     raw: DataFrame,
     patterns: Sequence[Pattern] = ORIGINATION_PATTERNS,
     trim_keys: bool = False,
+    prefer: Sequence[str] = (),
+    fit_on: DataFrame | None = None,
 ) -> DataFrame:
-    """Raw originations to one typed row per loan."""
-    loans = validate_loans(drop_unused_originations(raw), trim_keys)
-    return clean_columns(derive_origination_date(loans), patterns, fit_on=loans)
+    """Raw originations to one typed row per loan.
+
+    ``prefer`` orders the rows of one key; ``fit_on`` is another raw table on which
+    medians and modes are fitted instead.
+    """
+
+    def validated(table: DataFrame) -> DataFrame:
+        return validate_loans(drop_unused_originations(table), trim_keys, prefer)
+
+    loans = validated(raw)
+    fitted = loans if fit_on is None else validated(fit_on)
+    return clean_columns(derive_origination_date(loans), patterns, fit_on=fitted)

@@ -59,6 +59,10 @@ class Pattern:
     def missing_name(self) -> str:
         return f"{self.column}_IS_MISSING"
 
+    def needs(self) -> Mapping[str, type[DataType]]:
+        """Other columns, and their types, without which the column is left as it is."""
+        return {}
+
     def is_clean(self, dtype: DataType) -> bool:
         """Already in its final type, so that cleaning again changes nothing."""
         return False
@@ -115,6 +119,9 @@ class DateDependentRatio(NumericColumn):
     later_high: float = 998
     date_column: str = ORIGINATION_DATE
 
+    def needs(self) -> Mapping[str, type[DataType]]:
+        return {self.date_column: DateType}
+
     def bounded(self, value: Column) -> Column:
         day = F.col(self.date_column)
         return (
@@ -184,6 +191,41 @@ class CategoryColumn(Pattern):
         return Cleaned(F.coalesce(found, F.lit(self.unknown)), extra)
 
 
+@dataclass(frozen=True)
+class OpenCategory(Pattern):
+    """Any text is a category of its own (trimmed, upper case); only null and the exact
+    sentinel texts become ``unknown``."""
+
+    sentinels: Sequence[str]
+    unknown: str
+
+    def clean(self, fitted: None) -> Cleaned:
+        raw = F.col(self.column).cast("string")
+        missing = raw.isNull() | raw.isin(*self.sentinels)
+        return Cleaned(
+            F.when(missing, F.lit(self.unknown)).otherwise(standard_text(raw)),
+            {self.missing_name: indicator(missing)},
+        )
+
+
+@dataclass(frozen=True)
+class OpenNumber(Pattern):
+    """Any number is a category of its own, written without a fraction of zero; only the
+    sentinel and what is no number become ``unknown``."""
+
+    sentinel: float
+    unknown: str
+
+    def clean(self, fitted: None) -> Cleaned:
+        number = F.col(self.column).cast("string").try_cast("double")
+        number = F.when(~F.isnan(number) & (number != self.sentinel), number)
+        label = F.when(number == F.floor(number), number.try_cast("bigint").cast("string"))
+        return Cleaned(
+            F.coalesce(label, number.cast("string"), F.lit(self.unknown)),
+            {self.missing_name: indicator(number.isNull())},
+        )
+
+
 @dataclass(frozen=True)
 class MonthColumn(Pattern):
     """yyyyMM -> date; rows without one are dropped, or get the mode date."""
@@ -320,14 +362,23 @@ def clean_columns(
 ) -> DataFrame:
     """Apply the patterns; values replace their column, indicators are added.
 
-    Absent columns are skipped with a warning, indicators that already exist are
-    left alone. ``fit_on`` fits medians and modes on another frame.
+    Absent columns, and columns whose pattern needs another column that is absent
+    or of another type, are skipped with a warning; indicators that already exist
+    are left alone. ``fit_on`` fits medians and modes on another frame.
     """
     active = []
     for pattern in patterns:
         if pattern.column not in df.columns:
             warnings.warn(f"{pattern.column} not found, not cleaned", stacklevel=2)
             continue
+        unmet = [
+            name
+            for name, kind in pattern.needs().items()
+            if name not in df.columns or not isinstance(df.schema[name].dataType, kind)
+        ]
+        if unmet:
+            warnings.warn(f"{pattern.column} not cleaned without {unmet}", stacklevel=2)
+            continue
         dtype = df.schema[pattern.column].dataType
         if pattern.is_clean(dtype):
             continue

@@ -97,7 +97,17 @@ def clean_performance(
     raw: DataFrame,
     patterns: Sequence[Pattern] = PERFORMANCE_PATTERNS,
     trim_keys: bool = False,
+    fit_on: DataFrame | None = None,
 ) -> DataFrame:
-    """Raw monthly rows to typed monthly rows (still with any duplicates)."""
-    df = drop_unused_performance(canonical_performance_names(raw))
-    return clean_columns(clean_reporting_period(with_loan_key(df, trim_keys)), patterns)
+    """Raw monthly rows to typed monthly rows (still with any duplicates).
+
+    ``fit_on`` is another raw table on which medians are fitted instead.
+    """
+
+    def readable(table: DataFrame) -> DataFrame:
+        named = drop_unused_performance(canonical_performance_names(table))
+        return clean_reporting_period(with_loan_key(named, trim_keys))
+
+    return clean_columns(
+        readable(raw), patterns, fit_on=None if fit_on is None else readable(fit_on)
+    )

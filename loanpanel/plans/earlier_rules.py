@@ -2,15 +2,12 @@
 
 from loanpanel.operators.originations import (
     AMORTIZATION,
-    CHANNELS,
     MI_CANCEL,
     MI_CANCEL_INDICATORS,
-    OCCUPANCY,
     PROGRAMS,
     PROPERTY_TYPES,
     PURPOSES,
     STATES,
-    UNITS,
     VALUATIONS,
     YES,
     YES_NO,
@@ -26,6 +23,8 @@ from loanpanel.operators.patterns import (
     FreeTextCategory,
     MonthColumn,
     NumericColumn,
+    OpenCategory,
+    OpenNumber,
     below,
     equals,
 )
@@ -57,9 +56,9 @@ def _coded(column, mapping, unknown, **options):
 
 
 CODED_CATEGORIES = (
-    _coded("NUMBER_OF_UNITS", UNITS, "UNITS_UNKNOWN"),
-    _coded("OCCUPANCY_STATUS", OCCUPANCY, "OCCUPANCY_STATUS_UNKNOWN"),
-    _coded("CHANNEL", CHANNELS, "CHANNEL_UNKNOWN"),
+    OpenNumber("NUMBER_OF_UNITS", 99, "UNITS_UNKNOWN"),
+    OpenCategory("OCCUPANCY_STATUS", ("9",), "OCCUPANCY_UNKNOWN"),
+    OpenCategory("CHANNEL", ("9",), "CHANNEL_UNKNOWN"),
     _coded("AMORTIZATION_TYPE", AMORTIZATION, "AMORTIZATION_TYPE_UNKNOWN"),
     _coded("PROPERTY_STATE", {s: s for s in STATES}, "STATE_OR_TERRITORY_UNKNOWN"),
     _coded("PROPERTY_TYPE", PROPERTY_TYPES, "PROPERTY_TYPE_UNKNOWN"),

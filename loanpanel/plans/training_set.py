@@ -12,6 +12,7 @@ from loanpanel.operators.features import (
     with_feature_inputs,
 )
 from loanpanel.operators.labels import (
+    DEFAULT_EXITS,
     LOOKAHEAD_MONTHS,
     before_default,
     feature_cutoff,
@@ -21,9 +22,10 @@ from loanpanel.operators.labels import (
     payment_gap,
     with_default_flag,
 )
-from loanpanel.operators.originations import clean_originations
+from loanpanel.operators.originations import ORIGINATION_PATTERNS, clean_originations
 from loanpanel.operators.panel import drop_bad_loans
-from loanpanel.operators.performance import clean_performance
+from loanpanel.operators.patterns import Pattern
+from loanpanel.operators.performance import PERFORMANCE_PATTERNS, clean_performance
 from loanpanel.schemas import LOAN
 from loanpanel.sources.delimited import read_originations, read_performance
 
@@ -70,24 +72,29 @@ def aggregate_performance(
     require_consecutive_months: bool = False,
     prefer: Sequence[str] = (),
     settle: Callable[[DataFrame], DataFrame] | None = None,
+    default_exits: Sequence[str] = DEFAULT_EXITS,
 ) -> DataFrame:
     """Cleaned monthly rows to one row of 64 features and 10 labels per loan.
 
+    ``default_exits`` are the exits that count as default, for the default flag, the
+    first default and all that follows from them.
+
     ``cutoff`` is the last month features may use; by default six months before
     the last month of any plausible loan. ``next_6mo_label`` adds whether the
     loan defaults in the six months after its last feature month.
 
     The plausible rows are read twice, for the cutoff and for the features. By
     default the second read reuses the first one's shuffle; ``settle`` (for
-    example ``sources.scratch.stored``) writes them down once instead.
+    example of ``sources.scratch.scratch``) writes them down once instead.
     """
     history = with_default_flag(
         drop_bad_loans(
             cleaned.drop(*UNREAD),
             require_consecutive_months,
             prefer,
-            first_months={"FIRST_DEFAULT": in_default(payment_gap()) == 1},
-        )
+            first_months={"FIRST_DEFAULT": in_default(payment_gap(), default_exits) == 1},
+        ),
+        default_exits,
     )
     if settle is not None:
         history = settle(history)
@@ -97,17 +104,33 @@ def aggregate_performance(
 
 
 def training_set(
-    performance_raw: DataFrame, originations_raw: DataFrame, **options
+    performance_raw: DataFrame,
+    originations_raw: DataFrame,
+    performance_patterns: Sequence[Pattern] = PERFORMANCE_PATTERNS,
+    origination_patterns: Sequence[Pattern] = ORIGINATION_PATTERNS,
+    trim_keys: bool = False,
+    prefer_originations: Sequence[str] = (),
+    fit_on: tuple[DataFrame | None, DataFrame | None] = (None, None),
+    **options,
 ) -> DataFrame:
-    """Raw frames to the training table; options as in aggregate_performance."""
-    aggregated = aggregate_performance(clean_performance(performance_raw), **options)
-    return aggregated.join(clean_originations(originations_raw), LOAN, "inner")
+    """Raw frames to the training table.
+
+    ``trim_keys`` trims the loan keys of both tables; ``prefer_originations`` orders the
+    rows of one key there; ``fit_on`` names other raw tables (performance, originations)
+    to fit medians and modes on. Further options as in aggregate_performance.
+    """
+    cleaned = clean_performance(performance_raw, performance_patterns, trim_keys, fit_on[0])
+    loans = clean_originations(
+        originations_raw, origination_patterns, trim_keys, prefer_originations, fit_on[1]
+    )
+    return aggregate_performance(cleaned, **options).join(loans, LOAN, "inner")
 
 
 def build_training_set(
     spark: SparkSession, performance_path, originations_path, **options
 ) -> DataFrame:
-    """Raw files to the training table. Lazy: the caller's action does the work."""
+    """Raw files to the training table; options as in training_set. Lazy: the caller's
+    action does the work."""
     return training_set(
         read_performance(spark, performance_path),
         read_originations(spark, originations_path),

@@ -8,7 +8,7 @@ from loanpanel.operators.panel import drop_bad_loans
 from loanpanel.plans.training_set import aggregate_performance, training_set
 from loanpanel.operators.originations import clean_originations
 from loanpanel.operators.performance import clean_performance
-from loanpanel.sources.scratch import stored
+from loanpanel.sources.scratch import scratch
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -42,7 +42,13 @@ def test_building_a_plan_runs_no_job(spark, raw):
     assert set(tracker.getJobIdsForGroup(None)) == before
 
 
-def test_panel_rules_shuffle_twice_and_sort_once_by_loan(raw):
+@pytest.fixture(scope="module")
+def stored(spark):
+    with scratch(spark) as settle:
+        yield settle
+
+
+def test_panel_rules_shuffle_twice_and_sort_once_by_loan(raw, stored):
     text = plan(drop_bad_loans(stored(clean_performance(raw[0]))))
     assert len(re.findall(r"Exchange hashpartitioning", text)) == 2
     assert len(re.findall(r"[+:]- Window ", text)) == 2
@@ -50,13 +56,13 @@ def test_panel_rules_shuffle_twice_and_sort_once_by_loan(raw):
     assert len(re.findall(by_loan, text)) == 1
 
 
-def test_copies_are_combined_before_the_shuffle(raw):
+def test_copies_are_combined_before_the_shuffle(raw, stored):
     text = plan(drop_bad_loans(stored(clean_performance(raw[0]))))
     assert "partial_min" in text
     assert text.index("hashpartitioning(key_hash") < text.index("partial_min")
 
 
-def test_cutoff_reuses_the_shuffled_panel(raw):
+def test_cutoff_reuses_the_shuffled_panel(raw, stored):
     df = aggregate_performance(stored(clean_performance(raw[0])))
     df.collect()
     text = plan(df).split("== Initial Plan ==")[0]
@@ -75,7 +81,7 @@ def test_only_read_columns_are_scanned(raw):
     assert schemas and all("CUMULATIVE_MOD_COST" not in s and "DDLPI" not in s for s in schemas)
 
 
-def test_settled_panel_gives_the_same_result(raw):
+def test_settled_panel_gives_the_same_result(raw, stored):
     cleaned = clean_performance(raw[0])
     lazily = aggregate_performance(cleaned)
     settled = aggregate_performance(cleaned, settle=stored)

@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 
 from loanpanel.operators.performance import clean_performance
@@ -8,7 +10,7 @@ from loanpanel.sources.delimited import (
     read_performance,
     row_count_report,
 )
-from loanpanel.sources.scratch import scratch_dir, stored
+from loanpanel.sources.scratch import scratch, scratch_dir, stored
 
 
 def test_reads_pipe_delimited_text(spark, tmp_path):
@@ -51,9 +53,17 @@ def test_alternative_names(spark):
     assert (row.STEP_MOD_FLAG, row.MOD_FLAG) == ("STEP_MOD", "PRIOR_PERIOD_MOD")
 
 
-def test_scratch_dir_is_the_one_the_session_names(spark):
+def test_scratch_dir_is_the_one_the_session_names(spark, tmp_path):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert scratch_dir(spark) == shared
-    table = stored(spark.range(5))
-    assert table.count() == 5
-    assert table.inputFiles()[0].startswith(f"file://{shared}/")
+    assert stored(spark.range(5), f"{tmp_path}/mine").inputFiles()[0].startswith(f"file://{tmp_path}/mine/")
+
+
+def test_scratch_leaves_nothing_behind(spark):
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.iterdir())
+    with scratch(spark) as settle:
+        table = settle(spark.range(5))
+        assert table.count() == 5
+        assert table.inputFiles()[0].startswith(f"file://{shared}/")
+    assert set(shared.iterdir()) == before
