@@ -13,9 +13,13 @@ least `percent` times the union, and components of links are classes.
 * A bucket's candidates are a star: each member with one centre, the member that shares
   most buckets in all, which is the text that the others were made from if there is one.
 * Candidates are verified on the sets themselves, and verified links give components.
-  What a star leaves open are pairs of a bucket that are still in different components,
-  neither the centre; they are verified too where their set sizes allow a link. In a
-  bucket of true duplicates there are none.
+* What a star leaves open are pairs of a bucket that are in different components, neither
+  of them the centre c. Of such x and y the star tells how much each shares with c; they
+  share no more than the smaller of the two, and what both have beyond c. So either the
+  first alone reaches the threshold, or they have enough words beyond c in common: then
+  one of these is among the rarest few of each (a prefix filter), which a join on those
+  finds. All pairs found are verified. A copy with many edits of its own, far from the
+  centre, shares none of them, so that few pairs are left even of a large group.
 """
 
 from __future__ import annotations
@@ -26,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -135,33 +139,46 @@ def sketch(docs: DataFrame, size: int, key: str = "doc_id", text: str = "text")
     return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, schema)
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of keys whose full shingle sets are similar enough. `texts` has the
-    key and text of every node; of a node with several texts any may confirm."""
-    of = lambda x: texts.select(F.col("key").alias(x), F.col("text").alias(f"text_{x}"))
-    rows = pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "text_a", "text_b")
-    schema = T.StructType([pairs.schema["a"], pairs.schema["b"]])
+def compared(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of keys with `both`, the size of the intersection of their full sets,
+    and `linked`. `texts` has the key and text of every node; of a node with several texts
+    the most similar counts."""
+    schema = T.StructType(
+        [pairs.schema["a"], pairs.schema["b"], T.StructField("both", T.LongType()), T.StructField("linked", T.BooleanType())]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, set] = {}  # a centre's text comes again and again
-
-        def held(text: str) -> set:
-            found = known.get(text)
-            if found is None:
-                if len(known) >= REMEMBERED_SETS:
-                    known.clear()
-                found = known[text] = shingles(text, size)
-            return found
-
+        held = _Sets(size)
         for batch in batches:
-            good = []
+            both, linked = [], []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
                 one, two = held(x.as_py()), shingles(y.as_py(), size)
-                both = len(one & two)
-                good.append(100 * both >= percent * (len(one) + len(two) - both))
-            yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
+                both.append(len(one & two))
+                linked.append(100 * both[-1] >= percent * (len(one) + len(two) - both[-1]))
+            columns = [*batch.columns[:2], pa.array(both, pa.int64()), pa.array(linked, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    found = _with_texts(pairs, texts).mapInArrow(run, schema)
+    return found.groupBy("a", "b").agg(F.max("both").alias("both"), F.max("linked").alias("linked"))
 
-    return rows.mapInArrow(run, schema).distinct()
+
+class _Sets:
+    """Texts to shingle sets; a centre's text comes again and again."""
+
+    def __init__(self, size: int):
+        self.size, self.known = size, {}
+
+    def __call__(self, text: str) -> set:
+        if text not in self.known:
+            if len(self.known) >= REMEMBERED_SETS:
+                self.known.clear()
+            self.known[text] = shingles(text, self.size)
+        return self.known[text]
+
+
+def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    of = lambda x: texts.select(F.col("key").alias(x), F.col("text").alias(f"text_{x}"))
+    return pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "text_a", "text_b")
 
 
 def near_duplicates(
@@ -185,36 +202,17 @@ def near_duplicates(
     weighed = members.join(weights, "node")
     best = F.struct("weight", (-F.col("node")).alias("order"))
     centres = weighed.groupBy("band").agg(F.max_by("node", best).alias("centre"))
-    star = (
-        members.join(centres, "band")
-        .where("node != centre")
-        .select(F.greatest("centre", "node").alias("a"), F.least("centre", "node").alias("b"))
-        .distinct()
-    )
-    star = settled(star)
-    texts = _texts(docs, star, key, text)
-    links = settled(confirmed(star, texts, size, percent))
-    classes = components(links)
-    # What the stars left open: pairs of a bucket in different classes.
-    placed = (
-        members.join(classes.withColumnRenamed("node", "n_"), F.col("node") == F.col("n_"), "left")
-        .select("band", "node", "n", F.coalesce("component", "node").alias("component"))
+    star = settled(
+        members.join(centres, "band").where("node != centre").select("band", F.col("centre").alias("a"), F.col("node").alias("b"), "n")
     )
-    mixed = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
-    open_ = settled(placed.join(mixed.where("low < high AND size > 2").select("band"), "band"))
-    other = open_.select("band", *(F.col(c).alias(f"{c}_2") for c in ("node", "n", "component")))
-    rest = (
-        open_.join(other, "band")
-        .where("component < component_2")
-        .where(f"100 * least(n, n_2) >= {percent} * greatest(n, n_2)")
-        .select(F.greatest("node", "node_2").alias("a"), F.least("node", "node_2").alias("b"))
-        .distinct()
-        .join(star, ["a", "b"], "left_anti")
-    )
-    rest = settled(rest)
+    pairs = star.select("a", "b").distinct()
+    tested = settled(compared(pairs, _texts(docs, pairs, key, text), size, percent))
+    links = tested.where("linked").select("a", "b")
+    classes = settled(components(links))
+    rest = settled(_left_open(star, tested, classes, docs, size, percent, key, text))
     if not rest.isEmpty():
-        more = confirmed(rest, _texts(docs, rest, key, text), size, percent)
-        classes = components(links.unionByName(more))
+        more = compared(rest, _texts(docs, rest, key, text), size, percent)
+        classes = components(links.unionByName(more.where("linked").select("a", "b")))
     known = (
         rows.where("key IS NOT NULL")
         .join(nodes.select("set_id", "node"), "set_id", "left")
@@ -226,6 +224,78 @@ def near_duplicates(
     return known.unionByName(unknown).select(F.col("key").alias(key), "n_shingles", "component_id", kept.alias("kept"))
 
 
+def _left_open(
+    star: DataFrame, tested: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int, key: str, text: str
+) -> DataFrame:
+    """The pairs (a, b) that share a bucket, are in different components, are not yet
+    tested and may reach the threshold; see above for why there are no others.
+
+    star: band, a (centre), b (member), n (its set's size). tested: a, b, both.
+    """
+    of = lambda x: classes.select(F.col("node").alias(x), F.col("component").alias(f"{x}_class"))
+    placed = star.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    placed = placed.withColumn("class", F.coalesce("b_class", "b")).withColumn(
+        "away", F.col("class") != F.coalesce("a_class", "a")
+    )
+    bands = placed.groupBy("band").agg(F.count("*").alias("members"), F.max("away").alias("away"))
+    bands = bands.where("members > 1 AND away").select("band")
+    members = placed.join(bands, "band").groupBy("a", "b", "n", "class", "away").agg(F.count("*").alias("bands"))
+    members = members.join(tested.select("a", "b", F.col("both").alias("s")), ["a", "b"])
+    least = members.groupBy("a").agg(F.min("n").alias("least"))
+    # at least so many shingles must be shared with any member
+    need = F.ceil(F.lit(percent) * (F.col("n") + F.greatest("least", F.ceil(F.lit(percent) * F.col("n") / 100))) / (100 + percent))
+    members = settled(members.join(least, "a").withColumn("need", need.cast("long")))
+
+    def pairs(one: DataFrame, two: DataFrame, on: list[str], condition: str) -> DataFrame:
+        other = two.select(*on, *(F.col(c).alias(f"{c}_2") for c in ("b", "class", "n", "s")))
+        met = one.join(other, on).where("class != class_2").where(condition)
+        return met.select(F.greatest("b", "b_2").alias("x"), F.least("b", "b_2").alias("y"))
+
+    near = members.where("s >= need")
+    enough = f"100 * least(s, s_2) >= {percent} * (n + n_2 - least(s, s_2))"
+    by_centre = pairs(near.where("away"), near, ["a"], enough)
+
+    extra = _beyond(members.select("a", "b"), docs, size, key, text)
+    extra = settled(extra.select("a", "b", F.explode("hashes").alias("hash")))
+    counts = extra.groupBy("hash").agg(F.count("*").alias("often")).where("often > 1")
+    order = Window.partitionBy("a", "b").orderBy("often", "hash")
+    own = Window.partitionBy("a", "b")
+    rare = (
+        # a shingle of one member only comes first in the order and meets nothing
+        extra.join(counts, "hash")
+        .withColumn("place", F.row_number().over(order) - F.count("*").over(own))
+        .join(members, ["a", "b"])
+        # all but the need - s most frequent, and one more
+        .where("place <= 1 - greatest(need - s, 1)")
+    )
+    sizes = f"100 * least(n, n_2) >= {percent} * greatest(n, n_2)"
+    by_words = pairs(rare.where("away"), rare, ["a", "hash"], sizes)
+    known = tested.select(F.greatest("a", "b").alias("x"), F.least("a", "b").alias("y"))
+    found = by_centre.unionByName(by_words).distinct().join(known, ["x", "y"], "left_anti")
+    return found.select(F.col("x").alias("a"), F.col("y").alias("b"))
+
+
+def _beyond(pairs: DataFrame, docs: DataFrame, size: int, key: str, text: str) -> DataFrame:
+    """a, b, hashes of the shingles that b has and a has not."""
+    schema = T.StructType([pairs.schema["a"], pairs.schema["b"], T.StructField("hashes", T.ArrayType(T.LongType()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sketcher, known = Sketcher(size), {}
+        for batch in batches:
+            found = []
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                centre = x.as_py()
+                if centre not in known:
+                    if len(known) >= REMEMBERED_SETS:
+                        known.clear()
+                    known[centre] = sketcher.hashes(words_of(centre))
+                own = sketcher.hashes(words_of(y.as_py()))
+                found.append(np.setdiff1d(own, known[centre], assume_unique=True).view(np.int64))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found, pa.list_(pa.int64()))], names=schema.names)
+
+    return _with_texts(pairs, _texts(docs, pairs, key, text)).mapInArrow(run, schema)
+
+
 def _texts(docs: DataFrame, pairs: DataFrame, key: str, text: str) -> DataFrame:
     """key and the different texts of the nodes in some pair."""
     ends = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
