@@ -133,16 +133,16 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "
 
 def score(text: Column, model: Model, spark: SparkSession) -> Column:
     """The score of a whole text, 0 to 1; a null text counts as empty."""
-    shared = spark.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast((model.weights, model.axes, model.vectors, model.labels, model.prior))
 
     @F.arrow_udf(T.DoubleType())
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        reader = Reader()
+        reader, placed = Reader(), Model(*shared.value)
         for batch in batches:
             votes = [np.zeros(0)]
             for at in range(0, len(batch), BLOCK):
                 block = np.array([reader(t.as_py()) for t in batch.slice(at, BLOCK)])
-                votes.append(shared.value.vote(block))
+                votes.append(placed.vote(block))
             yield pa.array(np.concatenate(votes), pa.float64())
 
     return run(text)

@@ -183,11 +183,11 @@ def _regress(held: list[np.ndarray], y: np.ndarray, scale: np.ndarray, changes:
 def score(text: Column, model: Model, spark: SparkSession) -> Column:
     """The score of a whole text, 0 to 1; a null text counts as empty. The model has a
     bounded number of features and is broadcast."""
-    shared = spark.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast((model.weights, model.bias))
 
     @F.arrow_udf(T.DoubleType())
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        weights, known = shared.value.weights, {}
+        (weights, bias), known = shared.value, {}
         for batch in batches:
             scores = []
             for value in batch:
@@ -200,7 +200,7 @@ def score(text: Column, model: Model, spark: SparkSession) -> Column:
                         own = known[word] = {f: weights[f] for f in features_of(word) if f in weights}
                     if own:
                         found |= own
-                z = shared.value.bias + sum(sorted(found.values()))
+                z = bias + sum(sorted(found.values()))
                 scores.append(1 / (1 + np.exp(-np.clip(z, -30, 30))))
             yield pa.array(scores, pa.float64())
 
