@@ -1,5 +1,13 @@
-"""Time the headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS]; one JSON line."""
+"""Time the headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS]; one JSON line.
 
+    python bench.py [--times N] [--copies] [NAME...]
+
+The raw tables are derived and stored as Parquet before the clock starts, so the times
+are those of the operators. --times multiplies the loans; --copies adds copies of one
+loan's month until they are a third of all performance rows.
+"""
+
+import argparse
 import json
 import os
 import sys
@@ -7,27 +15,70 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import SparkSession  # noqa: E402
-
-from checks.registry import QUERIES  # noqa: E402
+from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
-HEADLINES = (
-    "clean_originations",
-    "clean_performance",
-    "drop_bad_loans",
-    "default_labels",
-    "loan_features",
-    "aggregate_performance",
-    "join_performance_originations",
-    "build_training_set",
+from checks.inputs import originations_raw, performance_raw  # noqa: E402
+from loanpanel.operators.features import loan_features  # noqa: E402
+from loanpanel.operators.labels import (  # noqa: E402
+    default_labels,
+    pre_default_rows,
+    with_default_flag,
 )
+from loanpanel.operators.originations import clean_originations  # noqa: E402
+from loanpanel.operators.panel import drop_bad_loans  # noqa: E402
+from loanpanel.operators.performance import clean_performance  # noqa: E402
+from loanpanel.plans.training_set import aggregate_performance, training_set  # noqa: E402
+from loanpanel.schemas import LOAN  # noqa: E402
+from loanpanel.session import tuned  # noqa: E402
+from loanpanel.sources.scratch import scratch  # noqa: E402
+
+
+def flagged(performance: DataFrame) -> DataFrame:
+    return with_default_flag(drop_bad_loans(clean_performance(performance)))
+
+
+HEADLINES = {
+    "clean_originations": lambda p, o, settle: clean_originations(o),
+    "clean_performance": lambda p, o, settle: clean_performance(p),
+    "drop_bad_loans": lambda p, o, settle: drop_bad_loans(clean_performance(p)),
+    "default_labels": lambda p, o, settle: default_labels(flagged(p)),
+    "loan_features": lambda p, o, settle: loan_features(pre_default_rows(flagged(p))),
+    "aggregate_performance": lambda p, o, settle: aggregate_performance(clean_performance(p)),
+    "aggregate_performance_settled": lambda p, o, settle: aggregate_performance(
+        clean_performance(p), settle=settle
+    ),
+    "aggregate_performance_cutoff_given": lambda p, o, settle: aggregate_performance(
+        clean_performance(p), cutoff=F.lit("2024-06-01").cast("date")
+    ),
+    "join_performance_originations": lambda p, o, settle: training_set(p, o),
+}
+
+
+def multiplied(raw: DataFrame, times: int) -> DataFrame:
+    """The loans again under other keys, `times` in all."""
+    if times == 1:
+        return raw
+    number = F.explode(F.sequence(F.lit(1), F.lit(times))).alias("number")
+    key = F.concat(F.col(LOAN), F.col("number").cast("string"))
+    return raw.select("*", number).withColumn(LOAN, key).drop("number")
+
+
+def with_copies(raw: DataFrame) -> DataFrame:
+    one = raw.where(F.col(LOAN).isNotNull()).limit(1)
+    again = F.explode(F.sequence(F.lit(1), F.lit(raw.count() // 2)))
+    return raw.unionByName(one.select("*", again.alias("again")).drop("again").repartition(8))
 
 
 def main() -> None:
+    parser = argparse.ArgumentParser()
+    parser.add_argument("--times", type=int, default=1)
+    parser.add_argument("--copies", action="store_true")
+    parser.add_argument("names", nargs="*")
+    options = parser.parse_args()
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    names = sys.argv[1:] or HEADLINES
-    spark = (
+    spark = tuned(
         SparkSession.builder.master(f"local[{cpus}]")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
@@ -41,15 +92,20 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     seconds = {}
-    for name in names:
-        best = None
-        for _ in range(2):  # the first run also warms up the JVM
-            started = time.perf_counter()
-            df = QUERIES[name].run(spark, sf_dir)
-            df.write.format("noop").mode("overwrite").save()
-            elapsed = time.perf_counter() - started
-            best = elapsed if best is None else min(best, elapsed)
-        seconds[name] = round(best, 3)
+    with scratch(spark) as settle:
+        performance = multiplied(performance_raw(spark, sf_dir), options.times)
+        performance = settle(with_copies(performance) if options.copies else performance)
+        originations = settle(multiplied(originations_raw(spark, sf_dir), options.times))
+        rows = performance.count()
+        for name in options.names or HEADLINES:
+            best = None
+            for _ in range(2):  # the first run also warms up the JVM
+                started = time.perf_counter()
+                df = HEADLINES[name](performance, originations, settle)
+                df.write.format("noop").mode("overwrite").save()
+                elapsed = time.perf_counter() - started
+                best = elapsed if best is None else min(best, elapsed)
+            seconds[name] = round(best, 3)
     spark.stop()
     print(
         json.dumps(
@@ -59,6 +115,7 @@ def main() -> None:
                 "unit": "sec",
                 "queries": seconds,
                 "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
+                "performance_rows": rows,
             }
         )
     )

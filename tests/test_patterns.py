@@ -23,13 +23,19 @@ from loanpanel.operators.patterns import (
     FreeTextCategory,
     MonthColumn,
     NumericColumn,
+    OpenCategory,
+    OpenNumber,
     OptionalMonthColumn,
     at_most,
     below,
     clean_columns,
     equals,
 )
-from loanpanel.operators.performance import PERFORMANCE_PATTERNS, clean_reporting_period
+from loanpanel.operators.performance import (
+    PERFORMANCE_PATTERNS,
+    clean_performance,
+    clean_reporting_period,
+)
 from loanpanel.plans.earlier_rules import (
     EARLIER_ORIGINATION_PATTERNS,
     EARLIER_PERFORMANCE_PATTERNS,
@@ -146,6 +152,47 @@ def test_numeric_codes(spark):
     ]
 
 
+def test_every_zero_balance_code(spark):
+    pattern = next(p for p in PERFORMANCE_PATTERNS if p.column == "ZERO_BALANCE_CODE")
+    raw = ["01", "02", "03", "09", "15", "16", "96", "99", None]
+    assert [row[0] for row in cleaned(spark, raw, pattern)] == [
+        "PREPAID_OR_MATURED",
+        "THIRD_PARTY_SALE",
+        "SHORT_SALE_OR_CHARGE_OFF",
+        "REO_DISPOSITION",
+        "WHOLE_LOAN_SALE",
+        "REPERFORMING_LOAN_SECURITIZATION",
+        "DEFECT_PRIOR_TO_OTHER_EVENT",
+        "NO_ZERO_BALANCE_CODE",
+        "NO_ZERO_BALANCE_CODE",
+    ]
+
+
+def test_open_category(spark):
+    pattern = OpenCategory("O", ("9",), "OCCUPANCY_UNKNOWN")
+    assert cleaned(spark, ["p ", "9", " 9", "zz", None, ""], pattern) == [
+        ("P", 0),
+        ("OCCUPANCY_UNKNOWN", 1),
+        ("9", 0),
+        ("ZZ", 0),
+        ("OCCUPANCY_UNKNOWN", 1),
+        ("", 0),
+    ]
+
+
+def test_open_number(spark):
+    pattern = OpenNumber("U", 99, "UNITS_UNKNOWN")
+    raw = ["1", " 2.0", "99", "7", "1.5", "x", "NaN", None, "99.0"]
+    assert [row[0] for row in cleaned(spark, raw, pattern)] == [
+        "1",
+        "2",
+        "UNITS_UNKNOWN",
+        "7",
+        "1.5",
+        *["UNITS_UNKNOWN"] * 4,
+    ]
+
+
 def test_date_dependent_ratio(spark):
     pattern = DateDependentRatio("LTV", 6, 105, "short", equals(999), date_column="D")
     old, new = date(2018, 1, 1), date(2018, 4, 1)
@@ -325,6 +372,17 @@ def test_absent_columns_are_skipped_with_a_warning(spark):
         assert clean_columns(df, [NumericColumn("Y", 0, 1, "int")]).columns == ["X"]
 
 
+@pytest.mark.parametrize("pattern", [BorrowerCount("N"), DateDependentRatio("N", 6, 105, "short")])
+def test_skipped_without_the_date_it_needs(spark, pattern):
+    without = spark.createDataFrame([("2.0",)], "N string")
+    as_text = spark.createDataFrame([("2.0", "2018-01-01")], "N string, ORIGINATION_DATE string")
+    for df in (without, as_text):
+        with pytest.warns(UserWarning, match="N not cleaned without"):
+            same = clean_columns(df, [pattern])
+        assert same.columns == df.columns
+        assert same.collect() == df.collect()
+
+
 def test_existing_indicator_is_kept(spark):
     df = spark.createDataFrame([("5", 1)], "X string, X_IS_MISSING int")
     row = clean_columns(df, [NumericColumn("X", 0, 9, "int")]).collect()[0]
@@ -380,6 +438,28 @@ def test_loans_are_unique_and_deterministic(spark):
     }
 
 
+def test_preferred_row_of_a_loan(spark):
+    rows = [
+        dict(LOAN_SEQUENCE_NUMBER="F18Q10000001", CREDIT_SCORE=None, CHANNEL="R"),
+        dict(LOAN_SEQUENCE_NUMBER="F18Q10000001", CREDIT_SCORE="700", CHANNEL="B"),
+    ]
+    df = originations(spark, rows)
+    assert [r.CREDIT_SCORE for r in validate_loans(df).collect()] == [None]
+    assert [r.CREDIT_SCORE for r in validate_loans(df, prefer=["CHANNEL"]).collect()] == ["700"]
+
+
+def test_fit_on_other_raw_tables(spark):
+    month = "LOAN_SEQUENCE_NUMBER string, MONTHLY_REPORTING_PERIOD string, ELTV string"
+    here = spark.createDataFrame([("F18Q10000001", "202301", "999")], month)
+    there = spark.createDataFrame([("F18Q10000002", "202301", "50")], month)
+    with pytest.warns(UserWarning):
+        assert [r.ELTV for r in clean_performance(here, fit_on=there).collect()] == [50]
+    dates = dict(FIRST_PAYMENT_DATE="201803", MATURITY_DATE="204803")
+    one = originations(spark, [dict(LOAN_SEQUENCE_NUMBER="F18Q10000001", **dates)])
+    two = originations(spark, [dict(LOAN_SEQUENCE_NUMBER="F18Q10000002", CREDIT_SCORE="610", **dates)])
+    assert [r.CREDIT_SCORE for r in clean_originations(one, fit_on=two).collect()] == [610]
+
+
 def test_term_median_is_fitted_after_undated_rows_are_gone(spark):
     dated = dict(FIRST_PAYMENT_DATE="201803", MATURITY_DATE="204803")
     rows = [
