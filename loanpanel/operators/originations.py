@@ -186,10 +186,14 @@ def validate_loans(
 def derive_origination_date(df: DataFrame) -> DataFrame:
     """Add the origination quarter coded in the key; mode date if unreadable.
 
-    Two year digits and four quarters: the mode counts at most 400 values.
+    Two year digits and four quarters: the mode counts at most 400 values. Counting
+    another column beside it makes the subquery need whole rows, so that it shares the
+    deduplicated table with everything else instead of reading the keys once more.
     """
     quarter = origination_quarter(F.col(LOAN))
-    mode = df.agg(F.mode(quarter, True)).scalar()
+    others = [F.count(name).alias("others") for name in df.columns if name != LOAN][:1]
+    found = df.agg(F.mode(quarter, True).alias("mode"), *others)
+    mode = found.select(F.struct("*")).scalar().getField("mode")
     return df.withColumn(ORIGINATION_DATE, F.coalesce(quarter, mode, F.lit(FALLBACK_DATE)))
 
 

@@ -75,6 +75,14 @@ def test_medians_reuse_the_counts(raw):
     assert "ReusedExchange" in plan(df)
 
 
+def test_mode_date_shares_the_deduplicated_rows(raw):
+    """No subquery deduplicates the keys alone, in a shuffle of its own."""
+    df = clean_originations(raw[1])
+    df.collect()
+    assert "key_hash" in plan(df)
+    assert not re.search(r"key_hash#[^\]]*\], functions=\[\]", plan(df))
+
+
 def test_only_read_columns_are_scanned(raw):
     df = clean_performance(raw[0]).select("LOAN_SEQUENCE_NUMBER", "MOD_FLAG")
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan(df))
