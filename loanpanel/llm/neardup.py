@@ -41,7 +41,10 @@ ROWS, BANDS = 5, 40
 BINS = ROWS * BANDS
 SEED = 11
 #: Words that a task remembers the hash of, sets that it remembers while verifying.
-REMEMBERED, REMEMBERED_SETS = 300_000, 32
+REMEMBERED, REMEMBERED_SETS = 100_000, 32
+#: Up to this many documents (16 MB of numbers) are looked up in the texts by a broadcast
+#: of their keys; for more the texts are shuffled.
+BROADCAST_KEYS = 1_000_000
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -298,6 +301,8 @@ def _beyond(pairs: DataFrame, docs: DataFrame, size: int, key: str, text: str) -
 
 def _texts(docs: DataFrame, pairs: DataFrame, key: str, text: str) -> DataFrame:
     """key and the different texts of the nodes in some pair."""
-    ends = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
+    ends = settled(pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct())
+    if ends.count() <= BROADCAST_KEYS:
+        ends = F.broadcast(ends)
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     return rows.join(ends, "key", "left_semi").distinct()
