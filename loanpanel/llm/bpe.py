@@ -25,7 +25,7 @@ NO_PAIR = 1 << 62
 #: Bits for the position in a tree entry; the rank stands above them.
 POSITION_BITS = 31
 #: Matches whose ids a task remembers, and the longest that it remembers.
-REMEMBERED, REMEMBERED_BYTES = 400_000, 64
+REMEMBERED, REMEMBERED_BYTES = 150_000, 48
 
 
 def read_ranks(path: str) -> dict[bytes, int]:

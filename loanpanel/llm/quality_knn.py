@@ -27,7 +27,7 @@ from loanpanel.llm.common import labelled_sample
 
 #: Bounds: labelled documents, latent dimensions, neighbours that vote, documents compared
 #: at a time, words that a task remembers.
-SAMPLE, RANK, NEIGHBOURS, BLOCK, REMEMBERED = 4096, 48, 15, 256, 300_000
+SAMPLE, RANK, NEIGHBOURS, BLOCK, REMEMBERED = 4096, 48, 15, 256, 100_000
 
 #: Term numbers: case of a word, its last sign, its length, marks, hashed beginnings.
 CASES, SIGNS, LENGTHS, MARKS, HASHED = 6, 64, 16, 4, 256

@@ -36,7 +36,7 @@ RIDGE, BIAS_RIDGE, FAIRNESS = 1e-5, 4e-3, 4.0
 #: Lengths of the word beginnings that count as features.
 BEGINNINGS = (4, 5, 6)
 #: Words that a task remembers the weights of.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 
 #: Names of groups, by family; within a family each may take another's place.
 IDENTITY = (
