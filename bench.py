@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from checks.inputs import originations_raw, performance_raw  # noqa: E402
+from checks.registry import as_text_file  # noqa: E402
 from loanpanel.operators.features import loan_features  # noqa: E402
 from loanpanel.operators.labels import (  # noqa: E402
     default_labels,
@@ -28,7 +29,11 @@ from loanpanel.operators.labels import (  # noqa: E402
 from loanpanel.operators.originations import clean_originations  # noqa: E402
 from loanpanel.operators.panel import drop_bad_loans  # noqa: E402
 from loanpanel.operators.performance import clean_performance  # noqa: E402
-from loanpanel.plans.training_set import aggregate_performance, training_set  # noqa: E402
+from loanpanel.plans.training_set import (  # noqa: E402
+    aggregate_performance,
+    build_training_set,
+    training_set,
+)
 from loanpanel.schemas import LOAN  # noqa: E402
 from loanpanel.session import tuned  # noqa: E402
 from loanpanel.sources.scratch import scratch  # noqa: E402
@@ -45,13 +50,16 @@ HEADLINES = {
     "default_labels": lambda p, o, settle: default_labels(flagged(p)),
     "loan_features": lambda p, o, settle: loan_features(pre_default_rows(flagged(p))),
     "aggregate_performance": lambda p, o, settle: aggregate_performance(clean_performance(p)),
+    "join_performance_originations": lambda p, o, settle: training_set(p, o),
+}
+# Other ways to the same table; not part of the total.
+VARIANTS = {
     "aggregate_performance_settled": lambda p, o, settle: aggregate_performance(
         clean_performance(p), settle=settle
     ),
     "aggregate_performance_cutoff_given": lambda p, o, settle: aggregate_performance(
         clean_performance(p), cutoff=F.lit("2024-06-01").cast("date")
     ),
-    "join_performance_originations": lambda p, o, settle: training_set(p, o),
 }
 
 
@@ -97,11 +105,15 @@ def main() -> None:
         performance = settle(with_copies(performance) if options.copies else performance)
         originations = settle(multiplied(originations_raw(spark, sf_dir), options.times))
         rows = performance.count()
-        for name in options.names or HEADLINES:
+        if options.times == 1 and not options.copies:
+            files = [as_text_file(spark, raw, sf_dir) for raw in (performance_raw, originations_raw)]
+            HEADLINES["build_training_set"] = lambda p, o, settle: build_training_set(spark, *files)
+        cases = HEADLINES | VARIANTS
+        for name in options.names or cases:
             best = None
             for _ in range(2):  # the first run also warms up the JVM
                 started = time.perf_counter()
-                df = HEADLINES[name](performance, originations, settle)
+                df = cases[name](performance, originations, settle)
                 df.write.format("noop").mode("overwrite").save()
                 elapsed = time.perf_counter() - started
                 best = elapsed if best is None else min(best, elapsed)
@@ -111,7 +123,7 @@ def main() -> None:
         json.dumps(
             {
                 "metric": "loan_panel_headline_total",
-                "value": round(sum(seconds.values()), 3),
+                "value": round(sum(s for name, s in seconds.items() if name in HEADLINES), 3),
                 "unit": "sec",
                 "queries": seconds,
                 "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
