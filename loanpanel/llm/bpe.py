@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loanpanel.llm.common import small_batches
+
 NO_PAIR = 1 << 62
 #: Bits for the position in a tree entry; the rank stands above them.
 POSITION_BITS = 31
@@ -117,6 +119,7 @@ def encode(
     A null or empty text has no ids. Repeated rows give repeated rows; other columns of
     `docs` are not read, whatever their names. Special tokens are ordinary text.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
     schema = T.StructType(
         [T.StructField("key", docs.schema[key].dataType), T.StructField("ids", T.BinaryType())]

@@ -27,6 +27,20 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+#: Rows and bytes that go to a Python worker at a time.
+BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lets tasks send whole texts to Python a few MB at a time.
+
+    Spark's own bounds (10,000 rows, 64 MB) hold for the rows' Arrow form, of which the
+    JVM and the worker have copies outside the heap at once, in every running task.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def settled(df: DataFrame) -> DataFrame:
     """`df` written to the shared checkpoint folder and read from there.
 

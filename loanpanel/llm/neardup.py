@@ -34,14 +34,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loanpanel.llm.common import settled
+from loanpanel.llm.common import settled, small_batches
 from loanpanel.llm.components import components
 
 ROWS, BANDS = 5, 40
 BINS = ROWS * BANDS
 SEED = 11
 #: Words that a task remembers the hash of, sets that it remembers while verifying.
-REMEMBERED, REMEMBERED_SETS = 100_000, 32
+REMEMBERED, REMEMBERED_SETS = 100_000, 8
 #: Up to this many documents (16 MB of numbers) are looked up in the texts by a broadcast
 #: of their keys; for more the texts are shuffled.
 BROADCAST_KEYS = 1_000_000
@@ -194,6 +194,7 @@ def near_duplicates(
     is null and it is not kept. Where different texts stand under one key, each row has
     the class of its own text. Other columns are not read.
     """
+    small_batches(docs.sparkSession)
     rows = settled(sketch(docs, size, key, text))
     sets = rows.where("set_id IS NOT NULL AND key IS NOT NULL")
     nodes = sets.groupBy("set_id", "n_shingles").agg(F.min("key").alias("node"))

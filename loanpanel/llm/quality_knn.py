@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loanpanel.llm.common import labelled_sample
+from loanpanel.llm.common import labelled_sample, small_batches
 
 #: Bounds: labelled documents, latent dimensions, neighbours that vote, documents compared
 #: at a time, words that a task remembers.
@@ -111,6 +111,7 @@ class Model:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "doc_id", text: str = "text") -> Model:
     """The latent space and the labelled vectors, from a bounded sample of labelled
     documents outside the held-out fold."""
+    small_batches(docs.sparkSession)
     sample = labelled_sample(docs, labels, label, SAMPLE, key, text).select("key", "label", "text")
     schema = T.StructType([T.StructField("key", docs.schema[key].dataType), T.StructField("label", T.IntegerType()), T.StructField("terms", T.BinaryType())])
 
@@ -133,6 +134,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "
 
 def score(text: Column, model: Model, spark: SparkSession) -> Column:
     """The score of a whole text, 0 to 1; a null text counts as empty."""
+    small_batches(spark)
     shared = spark.sparkContext.broadcast((model.weights, model.axes, model.vectors, model.labels, model.prior))
 
     @F.arrow_udf(T.DoubleType())

@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loanpanel.llm.common import small_batches
+
 SPACES = " \t\n\v\f\r"
 SYMBOLS = "#*$%&|<>"
 MEASURES = (
@@ -97,6 +99,7 @@ def measure(text: str | None) -> tuple[int, ...]:
 def ledger(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of `docs`: key, the measurements, and fails (bigint, a bit per
     failed rule). Other columns are not read; repeated rows give repeated rows."""
+    small_batches(docs.sparkSession)
     fields = [pa.field(m, pa.int64()) for m in MEASURES]
     schema = T.StructType([T.StructField(m, T.LongType()) for m in MEASURES])
 

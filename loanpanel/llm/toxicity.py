@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loanpanel.llm.common import labelled_sample, settled
+from loanpanel.llm.common import labelled_sample, settled, small_batches
 
 #: Bounds: labelled documents to learn from, features of the model.
 SAMPLE, FEATURES = 12_000, 2_000
@@ -90,6 +90,7 @@ _NAMES = {name for family in IDENTITY for name in family}
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "doc_id", text: str = "text") -> Model:
     """Learns from labelled documents outside the held-out fold; without any, every
     document scores one half less a little."""
+    small_batches(docs.sparkSession)
     sample = labelled_sample(docs, labels, label, SAMPLE, key, text)
     schema = T.StructType(
         [
@@ -183,6 +184,7 @@ def _regress(held: list[np.ndarray], y: np.ndarray, scale: np.ndarray, changes:
 def score(text: Column, model: Model, spark: SparkSession) -> Column:
     """The score of a whole text, 0 to 1; a null text counts as empty. The model has a
     bounded number of features and is broadcast."""
+    small_batches(spark)
     shared = spark.sparkContext.broadcast((model.weights, model.bias))
 
     @F.arrow_udf(T.DoubleType())
