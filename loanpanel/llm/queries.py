@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanpanel.llm import bpe, chat, licenses, mixing, neardup, neighbours, quality_knn, rules, toxicity, warc
+from loanpanel.llm import (
+    bpe,
+    centroids,
+    chat,
+    licenses,
+    mixing,
+    neardup,
+    neighbours,
+    periodic_runs,
+    quality_knn,
+    rules,
+    secret_scan,
+    toxicity,
+    warc,
+)
 from loanpanel.llm.common import held_out, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -362,11 +376,205 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(docs, toxicity.score(F.col("text"), model, spark), 0.5)
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clustered(table(spark, sf_dir, "embeddings"))
+
+
+def _op11_sql() -> str:
+    rounds = 3
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""near{i} AS MATERIALIZED (
+  SELECT r, unnest(min_by(struct_pack(c := c, distance := distance), struct_pack(d := distance, c := c)))
+  FROM (SELECT r, c, CAST(list_sum(list_transform(list_zip(x.v, y.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT)
+    AS distance FROM vectors x, centres{i} y) GROUP BY r
+)""")
+        if i < rounds:
+            steps.append(f"""centres{i + 1} AS MATERIALIZED (
+  SELECT c, coalesce(m.v, y.v) AS v FROM centres{i} y LEFT JOIN (
+    SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS v FROM (
+      SELECT c, i, sum(x) AS s, count(*) AS n FROM (
+        SELECT c, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM near{i} JOIN vectors USING (r)) GROUP BY c, i
+    ) GROUP BY c) m USING (c)
+)""")
+    return f"""
+WITH vectors AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id,
+    list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), centres0 AS MATERIALIZED (
+  SELECT row_number() OVER o - 1 AS c, v FROM vectors
+  WINDOW o AS (ORDER BY sha256('1:' || coalesce(CAST(vec_id AS VARCHAR), '')), v) QUALIFY c < 16
+), {', '.join(steps)}
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, distance,
+  CAST(sum(distance) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(y.v, ',')) AS centroid_sha256
+FROM near{rounds} JOIN vectors USING (r) JOIN centres{rounds} y USING (c)
+"""
+
+
+WORD = r"[^\x20\x09-\x0D]+"
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """doc_id and text; where crc32(doc_id) % 10 = 0, the words from one on repeat with a
+    period, both by the same checksum."""
+    ws, n = F.col("ws"), F.size("ws")
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    g = F.floor(h / 10)
+    rows = docs.select("doc_id", "text", h.alias("h"), g.alias("g"))
+    words = F.when(F.col("h") % 10 == 0, F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), F.lit(0)))
+    rows = rows.withColumn("ws", words)
+    rows = rows.withColumn("a", F.when(n > 0, (F.col("g") % n).cast("int")))
+    period = 1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8))
+    rows = rows.withColumn("p", period.cast("int"))
+    word = lambda w, i: F.when(i < F.col("a"), w).otherwise(F.get(ws, F.col("a") + F.pmod(i - F.col("a"), F.col("p"))))
+    planted = F.array_join(F.transform(ws, word), " ")
+    return rows.select("doc_id", F.when(F.col("a").isNotNull(), planted).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return periodic_runs.periodic_runs(with_planted_runs(docs))
+
+
+#: The checksum, bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS UBIGINT), list_transform(
+    string_split({0}, ''), lambda x: CAST(ascii(x) AS UBIGINT))), lambda acc, x: list_reduce(
+    [xor(acc, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda y, z: xor(y >> 1, (y & 1) * 3988292384))))"""
+
+OP12_SQL = f"""
+WITH given AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS ws,
+    CASE WHEN doc_id IS NULL THEN 0 ELSE {_CRC32.format("CAST(doc_id AS VARCHAR)")} END AS h FROM documents
+), placed AS (
+  SELECT *, CASE WHEN h % 10 = 0 AND len(ws) > 0 THEN CAST((h // 10) % len(ws) AS BIGINT) END AS a FROM given
+), docs AS MATERIALIZED (
+  SELECT r, doc_id, CASE WHEN a IS NULL THEN ws ELSE list_transform(range(len(ws)), lambda i:
+    ws[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % CAST(1 + (len(ws) - a) // (3 + (h // 10) % 8) AS BIGINT) END]) END AS ws
+  FROM placed
+), words AS MATERIALIZED (
+  SELECT r, i, w, n, lead(w, 1) OVER o AS w1, lead(w, 2) OVER o AS w2
+  FROM (SELECT r, len(ws) AS n, unnest(ws) AS w, generate_subscripts(ws, 1) - 1 AS i FROM docs)
+  WINDOW o AS (PARTITION BY r ORDER BY i)
+), same AS (
+  SELECT x.r, x.i, y.i - x.i AS p FROM words x JOIN words y USING (r, w, w1, w2) WHERE y.i > x.i AND 4 * (y.i - x.i) <= x.n
+), stretches AS (
+  SELECT r, p, min(i) AS start, count(*) + 2 + p AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY r, p ORDER BY i) AS island FROM same) GROUP BY r, p, island
+), runs AS MATERIALIZED (
+  SELECT r, start, length, min(p) AS period FROM stretches WHERE length >= greatest(6, 4 * p) GROUP BY ALL
+), digests AS (
+  SELECT r, count(*) AS n_runs, first(struct_pack(s := start, n := length, p := period)
+      ORDER BY length * 1.0::DOUBLE / period DESC, start, period) AS best,
+    string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+  FROM runs GROUP BY r
+), dropped AS (
+  SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM runs
+), collapsed AS (
+  SELECT r, string_agg(w, ' ' ORDER BY i) AS text FROM words ANTI JOIN dropped USING (r, i) GROUP BY r
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, CAST(best.s AS BIGINT) AS start, CAST(best.n AS BIGINT) AS length,
+  CAST(best.p AS BIGINT) AS period, CAST(1000 * best.n // best.p AS BIGINT) AS exponent_milli,
+  sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(text, '')) AS collapsed_sha256
+FROM docs LEFT JOIN digests USING (r) LEFT JOIN collapsed USING (r)
+"""
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.scan(docs, secret_scan.fit(docs))
+    line = lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])
+    base = F.filter("spans", lambda s: s["kind"] != secret_scan.ADDED)
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        count("assign").alias("n_assign"),
+        count("access").alias("n_access"),
+        count("hex").alias("n_hex"),
+        hex_of(F.array_join(F.transform(base, line), ",")).alias("base_sha256"),
+        F.array_join(F.transform("spans", line), ",").alias("spans"),
+    )
+
+
+def _op13_sql() -> str:
+    """Matches with their places: the pieces between matches tell them. A score is the sum of
+    whole numbers, as in the operator."""
+    signs = f"[{secret_scan.SIGNS[:-2].replace('ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789', 'A-Za-z0-9')}_=-]+"
+    patterns = {k: (p.replace("'", "''"), "(?i)" if flags & 2 else "", least) for k, p, flags, least in secret_scan.PATTERNS}
+
+    def places(name: str, kind: str, pattern: str, groups: str, source: str = "docs", at: str = "0") -> str:
+        return f"""{name} AS (
+  SELECT r, '{kind}' AS kind, m AS value, g AS inner_value,
+    {at} + CAST(sum(len(piece) + len(before)) OVER (PARTITION BY r, part ORDER BY k) AS BIGINT) AS start FROM (
+    SELECT r, {at} AS at, part, unnest(ms) AS m, unnest(gs) AS g, unnest(list_prepend('', ms[:-2])) AS before,
+      unnest(string_split_regex(text, '{pattern}')[:-2]) AS piece, generate_subscripts(ms, 1) AS k
+    FROM (SELECT *, regexp_extract_all(text, '{pattern}') AS ms, {groups} AS gs FROM {source}))
+)"""
+
+    assign, fold, assign_least = patterns["assign"]
+    ctes = [
+        places("assigned", "assign", fold + assign, f"regexp_extract_all(text, '{fold}{assign}', 2)"),
+        places("access", "access", patterns["access"][0], "ms"),
+        places("hexed", "hex", patterns["hex"][0], "ms"),
+        places("strings", secret_scan.ADDED, signs, "ms"),
+    ]
+    size = len(secret_scan.SIGNS) + 1
+    each = int(1000 * secret_scan.NATS_EACH)
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS r, 0 AS part, doc_id, coalesce(text, '') AS text FROM documents
+), {', '.join(ctes)}, base AS MATERIALIZED (
+  SELECT r, kind, 0 AS k, start, start + len(value) AS stop, inner_value FROM assigned WHERE len(inner_value) >= {assign_least}
+  UNION ALL SELECT r, kind, 1, start, start + len(value), value FROM access WHERE len(value) >= {patterns["access"][2]}
+  UNION ALL SELECT r, kind, 2, start, start + len(value), value FROM hexed WHERE len(value) >= {patterns["hex"][2]}
+), free AS MATERIALIZED (
+  SELECT row_number() OVER () AS s, r, start, start + len(value) AS stop, value FROM strings x
+  WHERE len(value) >= {secret_scan.SAMPLE} AND NOT EXISTS (
+    SELECT 1 FROM base b WHERE b.r = x.r AND b.start < x.start + len(x.value) AND b.stop > x.start)
+), samples AS (
+  SELECT 0 AS label, value FROM free
+  UNION ALL SELECT 1, v FROM (SELECT unnest(regexp_extract_all(inner_value, '{signs}')) AS v FROM base) WHERE len(v) >= {secret_scan.SAMPLE}
+), steps AS (
+  SELECT label, unnest(string_split(chr(10) || value, '')) AS a, unnest(string_split(value || chr(10), '')) AS b FROM samples
+), counts AS (SELECT label, a, b, count(*) AS n FROM steps GROUP BY ALL
+), totals AS (SELECT label, a, sum(n) AS total FROM counts GROUP BY ALL
+), states AS (SELECT unnest(string_split('{secret_scan.SIGNS}' || chr(10), '')) AS c
+), ratios AS (
+  SELECT x.c AS a, y.c AS b, CAST(round_even(1000 * (
+      ln((coalesce(r1.n, 0) + 1.0::DOUBLE) / (coalesce(t1.total, 0) + {size}))
+      - ln((coalesce(r0.n, 0) + 1.0::DOUBLE) / (coalesce(t0.total, 0) + {size}))), 0) AS BIGINT) AS ratio
+  FROM states x CROSS JOIN states y
+  LEFT JOIN counts r0 ON r0.label = 0 AND r0.a = x.c AND r0.b = y.c LEFT JOIN counts r1 ON r1.label = 1 AND r1.a = x.c AND r1.b = y.c
+  LEFT JOIN totals t0 ON t0.label = 0 AND t0.a = x.c LEFT JOIN totals t1 ON t1.label = 1 AND t1.a = x.c
+), candidates AS (
+  SELECT s, r, start, stop, value FROM free WHERE len(value) >= {secret_scan.CANDIDATE}
+    AND CAST(regexp_matches(value, '[0-9]') AS INT) + CAST(regexp_matches(value, '[a-z]') AS INT)
+      + CAST(regexp_matches(value, '[A-Z]') AS INT) >= 2
+), scored AS (
+  SELECT s, sum(ratio) AS score FROM (
+    SELECT s, unnest(string_split(chr(10) || value, '')) AS a, unnest(string_split(value || chr(10), '')) AS b FROM candidates
+  ) JOIN ratios USING (a, b) GROUP BY s
+), spans AS (
+  SELECT r, kind, k, start, stop FROM base
+  UNION ALL SELECT r, '{secret_scan.ADDED}', 3, start, stop FROM candidates JOIN scored USING (s)
+  WHERE score >= greatest({int(1000 * secret_scan.NATS)}, {each} * len(value))
+), lines AS (
+  SELECT r, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
+    string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, k) FILTER (k < 3) AS base,
+    string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, k) AS spans
+  FROM spans GROUP BY r
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN lines USING (r)
+"""
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_byte_bpe, op2_chat_format, op3_license_scan, op4_nearest_neighbours, op5_near_duplicates, op6_quality_knn, op7_quality_rules, op8_warc_fixity, op9_source_mix, op10_toxicity)
+    for f in (op1_byte_bpe, op2_chat_format, op3_license_scan, op4_nearest_neighbours, op5_near_duplicates, op6_quality_knn, op7_quality_rules, op8_warc_fixity, op9_source_mix, op10_toxicity, op11_centroid_clusters, op12_periodic_runs, op13_secret_scan)
 }
 ORACLES: dict[str, str] = {
     "op2_chat_format": OP2_SQL,
@@ -375,4 +583,7 @@ ORACLES: dict[str, str] = {
     "op7_quality_rules": _op7_sql(),
     "op8_warc_fixity": OP8_SQL,
     "op9_source_mix": _op9_sql(),
+    "op11_centroid_clusters": _op11_sql(),
+    "op12_periodic_runs": OP12_SQL,
+    "op13_secret_scan": _op13_sql(),
 }
