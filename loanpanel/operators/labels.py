@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from loanpanel.functions.codes import indicator, lookup, named
 from loanpanel.functions.parsing import month_index
 from loanpanel.operators.panel import by_month, whole_loan
+from loanpanel.operators.sharing import Shared
 from loanpanel.schemas import LOAN, MONTH
 
 # Exits that are a default, and the category of every exit.
@@ -96,23 +97,13 @@ def with_first_default(history: DataFrame) -> DataFrame:
     return history.withColumn("FIRST_DEFAULT", F.min(month).over(whole_loan()))
 
 
-def feature_cutoff(history: DataFrame, settled: bool = False) -> Column:
+def feature_cutoff(history: DataFrame) -> Column:
     """Last month features may use: six months before the last one reported.
 
-    The subquery also digests all other columns, so that it needs the same ones
-    as the query around it: Spark then reuses the shuffled panel instead of
-    reading and shuffling the input a second time. A ``settled`` (stored)
-    history is better read for its month alone.
+    To be known before the features, the history is read once more; see
+    ``sharing.Shared`` for how to evaluate it once.
     """
-    last = F.max(MONTH).alias("last")
-    if settled:
-        found = history.agg(last)
-    else:
-        digest = F.bit_xor(F.xxhash64(*history.columns)).alias("digest")
-        found = history.agg(last, digest).select(
-            F.when(F.col("digest").isNotNull(), F.col("last"))
-        )
-    return F.add_months(found.scalar(), -LOOKAHEAD_MONTHS)
+    return F.add_months(history.agg(F.max(MONTH)).scalar(), -LOOKAHEAD_MONTHS)
 
 
 def before_default(cutoff: Column) -> Column:
@@ -121,10 +112,16 @@ def before_default(cutoff: Column) -> Column:
     return (F.col(MONTH) <= cutoff) & not_yet
 
 
-def pre_default_rows(history: DataFrame) -> DataFrame:
-    """Rows of ``history`` (with IS_IN_DEFAULT) that features may use."""
-    cutoff = feature_cutoff(history)
-    return with_first_default(history).where(before_default(cutoff))
+def pre_default_rows(history: DataFrame, cutoff: Column | None = None) -> DataFrame:
+    """Rows of ``history`` (with IS_IN_DEFAULT) that features may use, with FIRST_DEFAULT.
+
+    The history is evaluated once, whether the cutoff is given or its own.
+    """
+    rows = with_first_default(history)
+    if cutoff is not None:
+        return rows.where(before_default(cutoff))
+    shared = Shared(rows, LOAN)
+    return shared.rows_where(before_default(feature_cutoff(shared.rows())))
 
 
 def label_aggregates() -> dict[str, Column]:

@@ -26,6 +26,7 @@ from loanpanel.operators.originations import ORIGINATION_PATTERNS, clean_origina
 from loanpanel.operators.panel import drop_bad_loans
 from loanpanel.operators.patterns import Pattern
 from loanpanel.operators.performance import PERFORMANCE_PATTERNS, clean_performance
+from loanpanel.operators.sharing import Shared
 from loanpanel.schemas import LOAN
 from loanpanel.sources.delimited import read_originations, read_performance
 
@@ -83,9 +84,10 @@ def aggregate_performance(
     the last month of any plausible loan. ``next_6mo_label`` adds whether the
     loan defaults in the six months after its last feature month.
 
-    The plausible rows are read twice, for the cutoff and for the features. By
-    default the second read reuses the first one's shuffle; ``settle`` (for
-    example of ``sources.scratch.scratch``) writes them down once instead.
+    The plausible rows are read twice, for the cutoff and for the features, and evaluated
+    once: they are shuffled by loan once more in between. ``settle`` (for example of
+    ``sources.scratch.scratch``) writes them down instead, where they are wanted for more
+    than this. With a cutoff that is given, neither is needed.
     """
     history = with_default_flag(
         drop_bad_loans(
@@ -98,8 +100,10 @@ def aggregate_performance(
     )
     if settle is not None:
         history = settle(history)
+    elif cutoff is None:
+        history = Shared(history, LOAN).rows()
     if cutoff is None:
-        cutoff = feature_cutoff(history, settled=settle is not None)
+        cutoff = feature_cutoff(history)
     return features_and_labels(history, cutoff, next_6mo_label)
 
 

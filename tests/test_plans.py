@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks.inputs import originations_raw, performance_raw
+from loanpanel.operators.labels import feature_cutoff, pre_default_rows, with_default_flag
 from loanpanel.operators.panel import drop_bad_loans
 from loanpanel.plans.training_set import aggregate_performance, training_set
 from loanpanel.operators.originations import clean_originations
@@ -62,13 +63,47 @@ def test_copies_are_combined_before_the_shuffle(raw, stored):
     assert text.index("hashpartitioning(key_hash") < text.index("partial_min")
 
 
-def test_cutoff_reuses_the_shuffled_panel(raw, stored):
-    df = aggregate_performance(stored(clean_performance(raw[0])))
+def final_plan(df):
+    """What was run, of the query and its subqueries; branches that reuse another's shuffle
+    say only that."""
     df.collect()
-    text = plan(df).split("== Initial Plan ==")[0]
+    lines, initial = [], None
+    for line in plan(df).split("\n"):
+        column = re.search(r"[A-Za-z=]|$", line).start()
+        if initial is not None and column >= initial:
+            continue
+        initial = column if "== Initial Plan ==" in line else None
+        if initial is None:
+            lines.append(line)
+    return "\n".join(lines)
+
+
+@pytest.mark.parametrize("columns", [["*"], ["LOAN_SEQUENCE_NUMBER", "EVER_RA"]])
+def test_panel_is_evaluated_once(raw, stored, columns):
+    """Also where few columns are selected."""
+    text = final_plan(aggregate_performance(stored(clean_performance(raw[0]))).select(*columns))
+    assert len(re.findall(r"[+:]- Window ", text)) == 2
+    assert "ReusedExchange" in text
+
+
+@pytest.mark.parametrize("columns", [["*"], ["LOAN_SEQUENCE_NUMBER"]])
+def test_row_mask_evaluates_the_panel_once(raw, stored, columns):
+    history = with_default_flag(drop_bad_loans(stored(clean_performance(raw[0]))))
+    text = final_plan(pre_default_rows(history).select(*columns))
+    assert len(re.findall(r"[+:]- Window ", text)) == 3
     assert "ReusedExchange" in text
 
 
+def test_mask_with_a_cutoff(raw, stored):
+    """The history's own cutoff gives what the same cutoff gives when it is told."""
+    history = with_default_flag(drop_bad_loans(stored(clean_performance(raw[0]))))
+    cutoff = history.select(feature_cutoff(history)).first()[0]
+    own, told = pre_default_rows(history), pre_default_rows(history, F.lit(cutoff))
+    assert own.columns == told.columns
+    assert sorted(own.collect()) == sorted(told.collect())
+    assert history.count() > own.count() > 0
+
+
 def test_medians_reuse_the_counts(raw):
     df = clean_performance(raw[0])
     df.collect()
