@@ -35,14 +35,8 @@ def hex_of(text: Column) -> Column:
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path(RANKS))
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    decoded = bpe.decode(F.col("ids"), ranks, spark)
-    return encoded.select(
-        "doc_id",
-        "n_tokens",
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(decoded, 256).alias("decoded_sha256"),
-    )
+    docs = table(spark, sf_dir, "documents")
+    return bpe.encode(docs, ranks, public_tokenizers.PATTERN, keep_ids=False, digests=True)
 
 
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
