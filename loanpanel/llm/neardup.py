@@ -5,7 +5,8 @@ words, the whole sequence). Two documents are linked if 100 times the intersecti
 least `percent` times the union, and components of links are classes.
 
 * Documents with equal sets are one node from the start, the smallest of them, so copies
-  cost one row each and are never compared.
+  cost one row each and are never compared. A node is named by its key and a hash of its
+  text, so that different texts under one key are different nodes.
 * One hash per shingle: its upper part names one of BANDS * ROWS bins, and a bin keeps
   its smallest hash. An empty bin borrows from the first non-empty bin in an order of
   its own (optimal densification). ROWS bins form a band; equal bands share a bucket.
@@ -114,11 +115,18 @@ class Sketcher:
         return len(found), hashlib.blake2b(found.tobytes(), digest_size=16).digest(), key.view(np.int64)
 
 
+def _named(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """key (a struct of the key and a hash of the text) and text, null texts as empty."""
+    whole = F.coalesce(F.col(text), F.lit(""))
+    return docs.select(F.struct(F.col(key).alias("key"), F.xxhash64(whole).alias("mark")).alias("key"), whole.alias("text"))
+
+
 def sketch(docs: DataFrame, size: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, n_shingles, set_id, bands; the last two are null without words."""
+    """key (see `_named`), n_shingles, set_id, bands; the last two are null without words."""
+    rows = _named(docs, key, text)
     schema = T.StructType(
         [
-            T.StructField("key", docs.schema[key].dataType),
+            rows.schema["key"],
             T.StructField("n_shingles", T.LongType()),
             T.StructField("set_id", T.BinaryType()),
             T.StructField("bands", T.ArrayType(T.LongType())),
@@ -139,13 +147,12 @@ def sketch(docs: DataFrame, size: int, key: str = "doc_id", text: str = "text")
                 names=schema.names,
             )
 
-    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def compared(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """Pairs (a, b) of keys with `both`, the size of the intersection of their full sets,
-    and `linked`. `texts` has the key and text of every node; of a node with several texts
-    the most similar counts."""
+    and `linked`. `texts` has the key and text of every node."""
     schema = T.StructType(
         [pairs.schema["a"], pairs.schema["b"], T.StructField("both", T.LongType()), T.StructField("linked", T.BooleanType())]
     )
@@ -185,18 +192,20 @@ def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text"
+    docs: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text", mark: str | None = None
 ) -> DataFrame:
     """One row per row of `docs`: key, n_shingles, component_id (the smallest key of its
-    class), kept (whether it is that key itself).
+    class), kept (whether it is that key itself). `mark` names one column more, xxhash64 of
+    the text (a null text counts as empty), which tells rows of one key apart.
 
     A document without words is linked with nothing. A null key takes no part: its class
     is null and it is not kept. Where different texts stand under one key, each row has
-    the class of its own text. Other columns are not read.
+    the class of its own text, and they are linked only if they are near-duplicates. Other
+    columns are not read.
     """
     small_batches(docs.sparkSession)
     rows = settled(sketch(docs, size, key, text))
-    sets = rows.where("set_id IS NOT NULL AND key IS NOT NULL")
+    sets = rows.where("set_id IS NOT NULL AND key.key IS NOT NULL")
     nodes = sets.groupBy("set_id", "n_shingles").agg(F.min("key").alias("node"))
     own = settled(sets.join(nodes.select("set_id", F.col("node").alias("key")), ["set_id", "key"], "left_semi"))
     banded = own.select(F.col("key").alias("node"), F.col("n_shingles").alias("n"), F.explode("bands").alias("band"))
@@ -204,8 +213,7 @@ def near_duplicates(
     members = settled(banded.join(crowded, "band").distinct())
     weights = members.groupBy("node").agg(F.sum("members").alias("weight"))
     weighed = members.join(weights, "node")
-    best = F.struct("weight", (-F.col("node")).alias("order"))
-    centres = weighed.groupBy("band").agg(F.max_by("node", best).alias("centre"))
+    centres = weighed.groupBy("band").agg(F.min_by("node", F.struct(-F.col("weight"), "node")).alias("centre"))
     star = settled(
         members.join(centres, "band").where("node != centre").select("band", F.col("centre").alias("a"), F.col("node").alias("b"), "n")
     )
@@ -218,14 +226,17 @@ def near_duplicates(
         more = compared(rest, _texts(docs, rest, key, text), size, percent)
         classes = components(links.unionByName(more.where("linked").select("a", "b")))
     known = (
-        rows.where("key IS NOT NULL")
+        rows.where("key.key IS NOT NULL")
         .join(nodes.select("set_id", "node"), "set_id", "left")
         .join(classes, "node", "left")
-        .select("key", "n_shingles", F.coalesce("component", "node", "key").alias("component_id"))
+        .select("key", "n_shingles", F.coalesce("component", "node", "key")["key"].alias("component_id"))
+    )
+    unknown = rows.where("key.key IS NULL").select("key", "n_shingles", F.col("key.key").alias("component_id"))
+    kept = F.coalesce(F.col("key.key") == F.col("component_id"), F.lit(False))
+    more = [F.col("key.mark").alias(mark)] if mark else []
+    return known.unionByName(unknown).select(
+        F.col("key.key").alias(key), "n_shingles", "component_id", kept.alias("kept"), *more
     )
-    unknown = rows.where("key IS NULL").select("key", "n_shingles", F.col("key").alias("component_id"))
-    kept = F.coalesce(F.col("key") == F.col("component_id"), F.lit(False))
-    return known.unionByName(unknown).select(F.col("key").alias(key), "n_shingles", "component_id", kept.alias("kept"))
 
 
 def _left_open(
@@ -301,9 +312,8 @@ def _beyond(pairs: DataFrame, docs: DataFrame, size: int, key: str, text: str) -
 
 
 def _texts(docs: DataFrame, pairs: DataFrame, key: str, text: str) -> DataFrame:
-    """key and the different texts of the nodes in some pair."""
+    """key and text of the nodes in some pair."""
     ends = settled(pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct())
     if ends.count() <= BROADCAST_KEYS:
         ends = F.broadcast(ends)
-    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return rows.join(ends, "key", "left_semi").distinct()
+    return _named(docs, key, text).join(ends, "key", "left_semi").distinct()

@@ -94,6 +94,41 @@ def test_edges(spark):
     )
 
 
+def unrelated(n, k):
+    """Texts without a word in common."""
+    return [" ".join(f"{chr(97 + i)}{j}" for j in range(k)) for i in range(n)]
+
+
+def test_different_texts_under_one_key(spark):
+    """They are linked with what each is near to, not with each other."""
+    a, b = unrelated(2, 60)
+    docs = [(7, a), (7, b), (3, a + " x"), (4, b + " y"), (9, b + " z")]
+    rows = sorted((r.doc_id, r.component_id, r.kept) for r in found(spark, docs))
+    assert rows == [(3, 3, True), (4, 4, True), (7, 3, False), (7, 4, False), (9, 4, False)]
+    # the smallest key of a class may itself stand for two texts
+    rows = sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in found(spark, [(7, a), (7, "u v"), (8, a + " x")]))
+    assert rows == [(7, 1, 7, True), (7, 59, 7, True), (8, 60, 7, False)]
+
+
+def test_texts_are_told_apart_by_the_mark(spark):
+    a, b = unrelated(2, 60)
+    frame = spark.createDataFrame([(7, a), (7, b), (3, a), (1, None)], "doc_id long, text string")
+    marked = neardup.near_duplicates(frame, mark="mark").join(
+        frame.selectExpr("text", "xxhash64(coalesce(text, '')) AS mark").distinct(), "mark"
+    )
+    assert sorted((r.doc_id, r.text or "", r.kept) for r in marked.collect()) == [
+        (1, "", True), (3, a, True), (7, a, False), (7, b, True),
+    ]
+
+
+def test_texts_are_found_by_a_shuffle_as_by_a_broadcast(spark, monkeypatch):
+    docs = [(i, f"{t} {i}") for i, t in enumerate(unrelated(4, 50) * 4)]
+    expected = sorted(found(spark, docs))
+    monkeypatch.setattr(neardup, "BROADCAST_KEYS", 0)
+    assert sorted(found(spark, docs)) == expected
+    assert len({r.component_id for r in expected}) == 4
+
+
 def test_long_text_and_empty_table(spark):
     long = " ".join(f"w{i}" for i in range(60_000))
     rows = {r.doc_id: r for r in found(spark, [(1, long), (2, long + " x")])}

@@ -33,7 +33,7 @@ def test_agrees_with_duckdb(spark, connection, name):
 
 def test_every_operator_is_registered():
     names = __spark_entry__.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([x for x in names if x.startswith(f"op{n}_")]) == 1
     assert "pipeline" in names
 
@@ -51,6 +51,15 @@ def test_pipeline(spark):
     assert neardup.near_duplicates(left, 5, 80).where("NOT kept").count() == 0
 
 
+def test_near_dedup_loses_no_text(spark):
+    """Of (7, A) (7, B) (3, A and a word), B has no near copy and stays."""
+    a, b = (" ".join(f"{c}{i}" for i in range(50)) for c in "ab")
+    rows = [(7, a), (7, b), (3, a + " x"), (7, b), (5, "c" * 300_000 + " d e f g"), (6, "c" * 300_000 + " d e f g")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, SF_DIR).collect()
+    assert sorted((r.doc_id, r.text[:2]) for r in kept) == [(3, "a0"), (5, "cc"), (7, "b0"), (7, "b0")]
+
+
 def test_stages_keep_columns_and_take_odd_rows(spark, tmp_path):
     """Nulls, empty texts, repeated rows and columns with the operators' own names."""
     schema = "doc_id long, text string, lang string, source string, n_chars long, score string, copies int, ids string"
