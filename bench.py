@@ -12,6 +12,7 @@ import json
 import os
 import sys
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -32,11 +33,14 @@ from loanpanel.operators.performance import clean_performance  # noqa: E402
 from loanpanel.plans.training_set import (  # noqa: E402
     aggregate_performance,
     build_training_set,
+    store_training_tables,
+    stored_training_set,
     training_set,
 )
 from loanpanel.schemas import LOAN  # noqa: E402
 from loanpanel.session import tuned  # noqa: E402
-from loanpanel.sources.scratch import scratch  # noqa: E402
+from loanpanel.sources.scratch import scratch, scratch_dir  # noqa: E402
+from loanpanel.sources.stored import ByLoan  # noqa: E402
 
 
 def flagged(performance: DataFrame) -> DataFrame:
@@ -108,6 +112,13 @@ def main() -> None:
         if options.times == 1 and not options.copies:
             files = [as_text_file(spark, raw, sf_dir) for raw in (performance_raw, originations_raw)]
             HEADLINES["build_training_set"] = lambda p, o, settle: build_training_set(spark, *files)
+        if not options.names or "join_stored_tables" in options.names:
+            folder = f"{scratch_dir(spark)}/stored-{uuid.uuid4().hex}"
+            tables = [ByLoan(name, f"{folder}/{name}", int(cpus)) for name in ("features", "loans")]
+            store_training_tables(
+                aggregate_performance(clean_performance(performance)), clean_originations(originations), *tables
+            )
+            VARIANTS["join_stored_tables"] = lambda p, o, settle: stored_training_set(spark, *tables)
         cases = HEADLINES | VARIANTS
         for name in options.names or cases:
             best = None

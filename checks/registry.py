@@ -67,7 +67,7 @@ from loanpanel.operators.performance import (
     drop_unused_performance,
     filter_reporting_window,
 )
-from loanpanel.operators.quality import indicator_profile, value_profile
+from loanpanel.operators.quality import Reports, indicator_profile, value_profile
 from loanpanel.plans.earlier_rules import (
     EARLIER_ORIGINATION_PATTERNS,
     EARLIER_PERFORMANCE_PATTERNS,
@@ -76,16 +76,21 @@ from loanpanel.plans.training_set import (
     aggregate_performance,
     build_training_set,
     features_and_labels,
+    store_training_tables,
+    stored_training_set,
     training_set,
 )
 from loanpanel.session import tuned
 from loanpanel.sources.delimited import (
     canonical_performance_names,
     read_originations,
+    read_originations_checked,
     read_performance,
+    read_performance_checked,
     row_count_report,
 )
 from loanpanel.sources.scratch import scratch_dir
+from loanpanel.sources.stored import ByLoan
 
 
 @dataclass(frozen=True)
@@ -189,6 +194,79 @@ def _(spark, sf_dir):
     )
 
 
+# Lines whose digest begins with 0 have only their first fields, with 1 one field more.
+WHOLE, SHORT = 32, 10
+
+
+def _line_sql(columns, table):
+    fields = ", ".join(f"COALESCE({c}, '')" for c in columns)
+    return f"""broken_input AS (
+  SELECT *, CASE LEFT(MD5(line), 1) WHEN '0' THEN ARRAY_TO_STRING(fields[:{SHORT}], '|') WHEN '1' THEN line || '|more'
+    ELSE line END AS written
+  FROM (SELECT *, ARRAY_TO_STRING(fields, '|') AS line FROM (SELECT *, [{fields}] AS fields FROM {table}))
+)"""
+
+
+@cache
+def as_broken_text_file(spark: SparkSession, raw: Callable, sf_dir: str) -> str:
+    """Raw rows as text lines, some of them broken."""
+    path = f"{scratch_dir(spark)}/broken-{uuid.uuid4().hex}"
+    rows = raw(spark, sf_dir)
+    fields = F.array(*[F.coalesce(F.col(c), F.lit("")) for c in rows.columns])
+    line = F.array_join(fields, "|")
+    first = F.left(F.md5(line.cast("binary")), F.lit(1))
+    written = (
+        F.when(first == "0", F.array_join(F.slice(fields, 1, SHORT), "|"))
+        .when(first == "1", F.concat(line, F.lit("|more")))
+        .otherwise(line)
+    )
+    rows.select(written.alias("value")).write.text(path)
+    return path
+
+
+PERF_LINES = f"{sql.PERF_RAW},{_line_sql(PERFORMANCE_RAW, 'perf_raw')}"
+ORIG_LINES = f"{sql.ORIG_RAW},{_line_sql(ORIGINATIONS_RAW, 'orig_raw')}"
+
+
+@register(
+    "src_performance_whole_lines",
+    query(PERF_LINES, _blank_as_null(PERFORMANCE_RAW, "broken_input WHERE LEFT(MD5(line), 1) NOT IN ('0', '1')")),
+)
+def _(spark, sf_dir):
+    return read_performance_checked(spark, as_broken_text_file(spark, performance_raw, sf_dir)).rows
+
+
+@register(
+    "src_performance_broken_lines",
+    query(
+        PERF_LINES,
+        f"""SELECT written AS line, CAST(IF(LEFT(MD5(line), 1) = '0', {SHORT}, {WHOLE + 1}) AS INTEGER) AS fields,
+  IF(LEFT(MD5(line), 1) = '0', 'too few fields', 'too many fields') AS problem
+FROM broken_input WHERE LEFT(MD5(line), 1) IN ('0', '1')""",
+    ),
+)
+def _(spark, sf_dir):
+    return read_performance_checked(spark, as_broken_text_file(spark, performance_raw, sf_dir)).broken.drop("file")
+
+
+@register(
+    "src_load_report",
+    query(
+        f"{PERF_LINES},{ORIG_LINES.removeprefix('WITH ').replace('broken_input', 'broken_loans')}",
+        "\nUNION ALL ".join(
+            f"""SELECT '{name}' AS source, COUNT(CASE WHEN LEFT(MD5(line), 1) NOT IN ('0', '1') THEN 1 END) AS kept,
+  COUNT(CASE WHEN LEFT(MD5(line), 1) = '0' THEN 1 END) AS too_few_fields,
+  COUNT(CASE WHEN LEFT(MD5(line), 1) = '1' THEN 1 END) AS too_many_fields, CAST(0 AS BIGINT) AS unreadable FROM {table}"""
+            for name, table in (("originations", "broken_loans"), ("performance", "broken_input"))
+        ),
+    ),
+)
+def _(spark, sf_dir):
+    loans = read_originations_checked(spark, as_broken_text_file(spark, originations_raw, sf_dir))
+    months = read_performance_checked(spark, as_broken_text_file(spark, performance_raw, sf_dir))
+    return loans.report("originations").union(months.report("performance"))
+
+
 # --- projection, cast, text -------------------------------------------------
 
 
@@ -674,6 +752,18 @@ def _(spark, sf_dir):
     )
 
 
+@register("join_stored_tables", TRAINING)
+def _(spark, sf_dir):
+    """Both tables stored by loan, then joined without a shuffle."""
+    own = uuid.uuid4().hex
+    tables = [
+        ByLoan(f"{name}_{own}", f"{scratch_dir(spark)}/{name}-{own}", 8) for name in ("features", "loans")
+    ]
+    features = aggregate_performance(cleaned(spark, sf_dir))
+    store_training_tables(features, clean_originations(originations_raw(spark, sf_dir)), *tables)
+    return rounded(stored_training_set(spark, *tables))
+
+
 # --- quality reports --------------------------------------------------------
 
 _profiles = [
@@ -711,6 +801,35 @@ def _(spark, sf_dir):
     return indicator_profile(cleaned(spark, sf_dir), INDICATORS)
 
 
+@cache
+def _reports_of_one_run(spark: SparkSession, sf_dir: str) -> Reports:
+    """Reports of one run that cleans and writes both tables."""
+    reports, target = Reports(), f"{scratch_dir(spark)}/cleaned-{uuid.uuid4().hex}"
+    loans_raw, months_raw = originations_raw(spark, sf_dir), performance_raw(spark, sf_dir)
+    numeric = [p for p in ORIGINATION_PATTERNS if p.column in sql.ORIG_NUMBERS]
+    watched = reports.values(reports.rows(loans_raw, "originations"), "originations", numeric)
+    clean_originations(watched, fit_on=loans_raw).write.parquet(f"{target}/originations")
+    # the medians are fitted on the raw rows themselves; these are read once
+    months = clean_performance(reports.rows(months_raw, "performance"), fit_on=months_raw)
+    reports.indicators(months, "performance", INDICATORS).write.parquet(f"{target}/performance")
+    return reports
+
+
+@register("src_row_count_report_observed", QUERIES["src_row_count_report"].sql)
+def _(spark, sf_dir):
+    return _reports_of_one_run(spark, sf_dir).row_count_report(spark)
+
+
+@register("value_profile_observed", QUERIES["value_profile"].sql)
+def _(spark, sf_dir):
+    return _reports_of_one_run(spark, sf_dir).value_profile(spark, "originations")
+
+
+@register("indicator_profile_observed", QUERIES["indicator_profile"].sql)
+def _(spark, sf_dir):
+    return _reports_of_one_run(spark, sf_dir).indicator_profile(spark, "performance")
+
+
 # --- the older rules --------------------------------------------------------
 
 

@@ -29,6 +29,7 @@ from loanpanel.operators.performance import PERFORMANCE_PATTERNS, clean_performa
 from loanpanel.operators.sharing import Shared
 from loanpanel.schemas import LOAN
 from loanpanel.sources.delimited import read_originations, read_performance
+from loanpanel.sources.stored import ByLoan, join_by_loan
 
 # Cleaned columns no feature or label reads; they are not shuffled.
 UNREAD = (
@@ -140,3 +141,20 @@ def build_training_set(
         read_originations(spark, originations_path),
         **options,
     )
+
+
+def store_training_tables(
+    features: DataFrame, loans: DataFrame, features_table: ByLoan, loans_table: ByLoan, mode: str = "error"
+) -> None:
+    """Store what ``aggregate_performance`` and ``clean_originations`` give, by loan.
+
+    Runs the jobs. Features change with every month and are overwritten; loans can be
+    appended to (``loans_table.store(new, "append")``).
+    """
+    features_table.store(features, mode)
+    loans_table.store(loans, mode)
+
+
+def stored_training_set(spark: SparkSession, features_table: ByLoan, loans_table: ByLoan) -> DataFrame:
+    """The training table from tables that are stored by loan, without a shuffle."""
+    return join_by_loan(features_table.read(spark), loans_table.read(spark))
