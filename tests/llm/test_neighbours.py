@@ -57,6 +57,60 @@ def test_recall_on_given_vectors(spark):
     assert np.mean(hits) / 20 >= 0.9
 
 
+def test_fewer_operations_than_brute_force():
+    """8,192 random vectors, the hardest case: entries passed and vectors verified."""
+    rng = np.random.default_rng(3)
+    vectors = rng.standard_normal((8192, 64))
+    index, queries, hits = neighbours.Index(vectors), np.arange(0, 8192, 64), []
+    found, _ = index.candidates(vectors[queries], 20, 0.5 * index.spread)
+    for q, among in zip(queries, found, strict=True):
+        scores = vectors @ vectors[q]
+        scores[q] = -np.inf
+        near = among[np.argsort(-index.best(vectors[q], among))]
+        hits.append(len(set(np.argsort(-scores)[:20]) & set(near[near != q][:20])))
+    assert np.mean(hits) / 20 >= 0.95 and min(hits) >= 12
+    assert index.passed + 64 * index.verified < 0.6 * 64 * 8192 * len(queries)
+    assert index.verified < 0.25 * 8192 * len(queries)
+
+
+@pytest.mark.parametrize("size", [1e-300, 1e-30, 1.0, 1e20, 1e150, 1e200])
+def test_components_of_any_size(spark, size):
+    """The same neighbours at every scale; products beyond a double are infinite."""
+    vectors = random_vectors(900)
+    rows = [(i, (np.array(v) * size).tolist()) for i, v in vectors]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    near = neighbours.nearest(docs, F.col("id") % 20 == 0, 10).collect()
+    assert len(near) == 45 * 10
+    if size > 1e154:
+        assert any(np.isinf(r.score) for r in near)
+        return
+    products = {i: np.array([np.array(v) * size @ (np.array(dict(vectors)[i]) * size) for _, v in vectors]) for i in range(0, 900, 20)}
+    hits = 0
+    for r in near:
+        others = np.delete(products[r.query_id], r.query_id)
+        hits += r.score >= np.sort(others)[-10] * (1 - 1e-9) if size >= 1e-150 else 1
+    assert hits >= 0.95 * len(near)
+
+
+def test_cancelling_components(spark):
+    """Large terms that cancel hide no small ones."""
+    rng = np.random.default_rng(6)
+    rows = []
+    for i in range(250):  # few enough to be verified whole
+        v = rng.standard_normal(16)
+        v[0], v[1] = 2.0**30, 2.0**30 * (1 if i % 20 else -1)
+        rows.append((i, v.tolist()))
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    near = neighbours.nearest(docs, F.col("id") % 20 == 0, 5).collect()
+    table = np.array([v for _, v in rows])
+    for r in near:
+        assert r.score == pytest.approx((table[r.query_id] * table[r.vec_id]).sum(), rel=1e-12)
+    for q in range(0, 250, 20):
+        scores = (table * table[q]).sum(1)
+        expected = sorted((-x, i) for i, x in enumerate(scores) if i != q)[:5]
+        assert [r.vec_id for r in near if r.query_id == q] == [i for _, i in expected]
+
+
 def test_ties_go_to_the_smaller_id(spark):
     vectors = [(i, [1.0, 0.0, 0.0]) for i in range(700)] + [(700 + i, [0.5, float(i % 7), 0.0]) for i in range(700)]
     near = found(spark, vectors, k=5, every=700)
