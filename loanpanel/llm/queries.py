@@ -280,11 +280,12 @@ def op8_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP8_SQL = f"""
 WITH records AS (
-  SELECT page_id, 'WARC/1.0' || e || 'WARC-Type: response' || e || 'WARC-Record-ID: <urn:page:'
-    || coalesce(CAST(page_id AS VARCHAR), '') || '>' || e || 'WARC-Target-URI: ' || coalesce(url, '') || e
+  SELECT page_id, 'WARC/1.0' || e || 'WARC-Type: resource' || e || 'WARC-Record-ID: <' || name || '>' || e
+    || 'WARC-Date: 1970-01-01T00:00:00Z' || e || 'WARC-Target-URI: '
+    || coalesce(nullif(replace(replace(url, chr(13), '%0D'), chr(10), '%0A'), ''), name) || e
     || 'Content-Type: text/html' || e || 'Content-Length: ' || octet_length(encode(coalesce(html, ''))) || e || e
     || coalesce(html, '') || e || e AS record
-  FROM pages, (SELECT chr(13) || chr(10) AS e)
+  FROM (SELECT *, 'urn:page:' || coalesce(CAST(page_id AS VARCHAR), '') AS name, chr(13) || chr(10) AS e FROM pages)
 ), once AS (
   SELECT page_id, sha256(record) AS sha, octet_length(encode(record)) AS bytes, left(md5(record), 2) AS fate,
     count(*) AS copies FROM records GROUP BY ALL
