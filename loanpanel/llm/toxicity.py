@@ -7,8 +7,12 @@ other name of its family, neutral ones included, and the loss holds the squared
 of the sentence's score. So a name alone, however often it stands beside abuse in the
 labels, adds no more to a score than "people" does.
 
-Fitting collects at most SAMPLE documents' features out of FEATURES, and the swaps in
-their sentences counted by pair of names; every document is then scored where it is.
+A swapped sentence is scored as it reads then: a name that stands there twice, or whose
+beginning another word has, loses or gains only the features that really change. Sentences
+that look the same to the model, before and after, are one with a count.
+
+Fitting collects at most SAMPLE documents' features out of FEATURES, and at most SWAPS
+different swaps of their sentences; every document is then scored where it is.
 """
 
 from __future__ import annotations
@@ -25,8 +29,9 @@ from pyspark.sql import types as T
 
 from loanpanel.llm.common import labelled_sample, settled, small_batches
 
-#: Bounds: labelled documents to learn from, features of the model.
-SAMPLE, FEATURES = 12_000, 2_000
+#: Bounds: labelled documents to learn from, features of the model, different swapped
+#: sentences (the most frequent) whose change of score is penalised.
+SAMPLE, FEATURES, SWAPS = 12_000, 2_000, 20_000
 #: A feature is considered if this many documents of the sample hold it, and if the toxic
 #: ones among them are more than chance gives, by this value of chi-squared at least.
 SUPPORT, TELLING = 3, 20.0
@@ -75,13 +80,14 @@ def features(text: str) -> set[str]:
     return {f for w in set(_WORD.findall(text.lower())) for f in features_of(w)}
 
 
-def swaps(text: str) -> list[tuple[str, str]]:
-    """The swaps of names in a text's sentences: (name, other name of its family)."""
-    found = []
+def swaps(text: str) -> Iterator[tuple[set[str], set[str]]]:
+    """The words of each sentence that names a group, as they are and with all places of one
+    name taken by another of its family, for every such exchange."""
     for sentence in _SENTENCE.split(text.lower()):
-        for word in set(_WORD.findall(sentence)) & _NAMES:
-            found += [(word, other) for family in IDENTITY if word in family for other in family if other != word]
-    return found
+        words = set(_WORD.findall(sentence))
+        for name in sorted(words & _NAMES):
+            for other in sorted({o for family in IDENTITY if name in family for o in family} - {name}):
+                yield words, words - {name} | {other}
 
 
 _NAMES = {name for family in IDENTITY for name in family}
@@ -96,17 +102,21 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "do
         [
             T.StructField("label", T.IntegerType()),
             T.StructField("held", T.ArrayType(T.StringType())),
-            T.StructField("swapped", T.ArrayType(T.StringType())),
+            T.StructField("names", T.ArrayType(T.StringType())),
+            T.StructField("text", T.StringType()),
         ]
     )
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).to_pylist()
+            names = [{w for before, after in swaps(t) for w in before ^ after} for t in texts]
             columns = [
                 batch.column(0),
                 pa.array([sorted(features(t)) for t in texts], pa.list_(pa.string())),
-                pa.array([[" ".join(s) for s in swaps(t)] for t in texts], pa.list_(pa.string())),
+                pa.array([sorted(n) for n in names], pa.list_(pa.string())),
+                # only texts that name a group are read again
+                pa.array([t if n else None for t, n in zip(texts, names, strict=True)], pa.string()),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
@@ -125,8 +135,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "do
     more = counts.where((F.col("bad") > F.col("n") * share) & (telling >= TELLING))
     best = more.select("feature", telling.alias("t")).orderBy(F.desc("t"), "feature").limit(FEATURES).collect()
     chosen = [r["feature"] for r in best]
-    pairs = {r["pair"]: r["count"] for r in rows.select(F.explode("swapped").alias("pair")).groupBy("pair").count().collect()}
-    chosen += sorted({f for pair in pairs for w in pair.split(" ") for f in features_of(w)} - set(chosen))
+    names = [r["name"] for r in rows.select(F.explode("names").alias("name")).distinct().collect()]  # of IDENTITY
+    chosen += sorted({f for name in names for f in features_of(name)} - set(chosen))
     number = {f: i for i, f in enumerate(chosen)}
     # only the chosen features of the sample come to the driver
     known = F.broadcast(docs.sparkSession.createDataFrame(list(number.items()), "feature string, number int"))
@@ -139,42 +149,89 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "do
     data = rows.select("row", "label").join(kept, "row", "left").orderBy("row").collect()
     held_by = [np.array(r["held"] or [], np.int64) for r in data]
     y = np.array([r["label"] for r in data], float)
-    changes = []
-    for pair, count in sorted(pairs.items()):
-        change = np.zeros(len(chosen))
-        before, after = pair.split(" ")
-        for f in features_of(before):
-            change[number[f]] += 1
-        for f in features_of(after):
-            change[number[f]] -= 1
-        changes.append((count / n, change))
+    changes = _changes(rows.where("text IS NOT NULL").select("text"), number)
     # The more telling a feature, the further its weight may go: a beginning that many
     # toxic words share is learned before each of those words.
     scale = np.full(len(chosen), 0.5)
     scale[: len(best)] = np.sqrt([r["t"] / best[0]["t"] for r in best])
-    weights, bias = _regress(held_by, y, scale, changes)
+    weights, bias = _regress(held_by, y, scale, Swaps.of(changes, n))
     return Model({f: float(w) for f, w in zip(chosen, weights, strict=True) if w}, float(bias))
 
 
-def _regress(held: list[np.ndarray], y: np.ndarray, scale: np.ndarray, changes: list, steps: int = 600) -> tuple[np.ndarray, float]:
+def _changes(texts: DataFrame, number: dict[str, int]) -> list:
+    """(before, after, count) of the swapped sentences: their features by number, how often."""
+    schema = "before array<int>, after array<int>, n long"
+
+    def known(words: set[str]) -> tuple[int, ...]:
+        return tuple(sorted({number[f] for w in words for f in features_of(w) if f in number}))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts: dict[tuple, int] = {}
+            for text in batch.column(0):
+                for before, after in swaps(text.as_py()):
+                    swap = known(before), known(after)
+                    counts[swap] = counts.get(swap, 0) + 1
+            columns = list(zip(*((b, a, n) for (b, a), n in counts.items()), strict=True)) or [[], [], []]
+            types = (pa.list_(pa.int32()), pa.list_(pa.int32()), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names=["before", "after", "n"])
+
+    found = texts.mapInArrow(run, schema).groupBy("before", "after").agg(F.sum("n").alias("n")).where("before != after")
+    return found.orderBy(F.desc("n"), "before", "after").limit(SWAPS).collect()
+
+
+@dataclass(frozen=True)
+class Swaps:
+    """Swapped sentences as sparse rows: of each entry the row and the feature, for the
+    sentences before and after; of each row its share of the penalty."""
+
+    before: tuple[np.ndarray, np.ndarray]
+    after: tuple[np.ndarray, np.ndarray]
+    share: np.ndarray
+
+    @classmethod
+    def of(cls, changes: list, n: int) -> Swaps:
+        """From (before, after, count), for a sample of n documents."""
+
+        def entries(side: int) -> tuple[np.ndarray, np.ndarray]:
+            held = [np.array(c[side], np.int64) for c in changes]
+            return np.repeat(np.arange(len(held)), [len(h) for h in held]), np.concatenate([*held, np.zeros(0, np.int64)])
+
+        return cls(entries(0), entries(1), np.array([c[2] / n for c in changes], float))
+
+    def penalty(self, weights: np.ndarray, bias: float) -> tuple[float, np.ndarray, float]:
+        """The squared changes of the sentences' scores, added up by share, and its gradient
+        by the weights and by the bias."""
+        rows, width = len(self.share), len(weights)
+        scores = [logistic(np.bincount(r, weights[f], rows) + bias) for r, f in (self.before, self.after)]
+        change = scores[0] - scores[1]
+        slopes = [2 * self.share * change * p * (1 - p) for p in scores]
+        by_weight = [np.bincount(f, x[r], width) for (r, f), x in zip((self.before, self.after), slopes, strict=True)]
+        return float((self.share * change**2).sum()), by_weight[0] - by_weight[1], float((slopes[0] - slopes[1]).sum())
+
+
+def logistic(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
+def _regress(held: list[np.ndarray], y: np.ndarray, scale: np.ndarray, swapped: Swaps, steps: int = 600) -> tuple[np.ndarray, float]:
     """Adam on the logistic loss (both labels count the same in all), a ridge, and the
-    mean squared score change."""
+    penalty for changes of score."""
     n, width = len(y), len(scale)
     share = np.where(y > 0, 0.5 / y.sum(), 0.5 / (n - y.sum()))
     lengths = np.array([len(h) for h in held])
     columns = np.concatenate([*held, np.zeros(0, np.int64)])
     rows = np.repeat(np.arange(n), lengths)
-    change = np.array([c for _, c in changes]).reshape(-1, width) * scale
-    often = np.array([f for f, _ in changes])
     theta = np.zeros(width + 1)
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, steps + 1):
-        z = np.bincount(rows, (theta[:-1] * scale)[columns], n) + theta[-1]
-        error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * share
+        weights = theta[:-1] * scale
+        error = (logistic(np.bincount(rows, weights[columns], n) + theta[-1]) - y) * share
         gradient = np.append(np.bincount(columns, error[rows], width) * scale, error.sum())
         gradient += 2 * np.append(np.full(width, RIDGE), BIAS_RIDGE) * theta
-        if len(often):
-            gradient[:-1] += 2 * FAIRNESS * ((change @ theta[:-1]) * often) @ change
+        if len(swapped.share):
+            _, by_weight, by_bias = swapped.penalty(weights, theta[-1])
+            gradient += FAIRNESS * np.append(by_weight * scale, by_bias)
         first = 0.9 * first + 0.1 * gradient
         second = 0.999 * second + 0.001 * gradient**2
         theta -= 0.05 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-9)
@@ -203,7 +260,7 @@ def score(text: Column, model: Model, spark: SparkSession) -> Column:
                     if own:
                         found |= own
                 z = bias + sum(sorted(found.values()))
-                scores.append(1 / (1 + np.exp(-np.clip(z, -30, 30))))
+                scores.append(logistic(z))
             yield pa.array(scores, pa.float64())
 
     return run(text)

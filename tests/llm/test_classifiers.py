@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,8 +65,66 @@ def test_swapped_names_change_no_score(spark, monkeypatch):
 
 
 def test_swaps():
-    assert ("women", "people") in toxicity.swaps("Many women. And dogs.")
-    assert toxicity.swaps("") == toxicity.swaps("no names here") == []
+    found = list(toxicity.swaps("Many women and women. Dogs, people and men!"))
+    assert ({"many", "women", "and"}, {"many", "people", "and"}) in found
+    assert ({"dogs", "people", "and", "men"}, {"dogs", "women", "and", "men"}) in found
+    # the other name stands there already
+    assert ({"dogs", "people", "and", "men"}, {"dogs", "people", "and"}) in found
+    assert list(toxicity.swaps("")) == list(toxicity.swaps("no names here")) == []
+
+
+def test_penalty_is_the_change_of_each_sentence():
+    """Against sentences scored one by one, and its gradient against small steps."""
+    rng = np.random.default_rng(1)
+    words = ["vile", "people", "muslims", "women", "womanly", "peopled"]
+    sentences = [" ".join(rng.choice(words, 3)) for _ in range(40)]
+    known = sorted({f for w in {*words, *toxicity._NAMES} for f in toxicity.features_of(w)})
+    number = {f: i for i, f in enumerate(known)}
+    numbers = lambda words: [number[f] for f in {f for w in words for f in toxicity.features_of(w)}]
+    changes = [(numbers(b), numbers(a), 1 + i % 3) for i, (b, a) in enumerate(x for t in sentences for x in toxicity.swaps(t))]
+    assert len(changes) > 100
+    weights, bias = rng.standard_normal(len(known)), -0.3
+    swapped = toxicity.Swaps.of(changes, 50)
+
+    def brute(weights, bias):
+        p = lambda held: 1 / (1 + np.exp(-(sum(weights[i] for i in held) + bias)))
+        return sum(c / 50 * (p(b) - p(a)) ** 2 for b, a, c in changes)
+
+    value, by_weight, by_bias = swapped.penalty(weights, bias)
+    assert value == pytest.approx(brute(weights, bias))
+    for i in range(0, len(known), 7):
+        step = np.zeros(len(known))
+        step[i] = 1e-6
+        assert by_weight[i] == pytest.approx((brute(weights + step, bias) - brute(weights - step, bias)) / 2e-6, abs=1e-6)
+    assert by_bias == pytest.approx((brute(weights, bias + 1e-6) - brute(weights, bias - 1e-6)) / 2e-6, abs=1e-6)
+
+
+def test_scores_of_given_swapped_sentences(spark, monkeypatch):
+    """Of the sample's own sentences that name a group, rescored with names swapped, the mean
+    squared change is far below what it is without the penalty."""
+    rng = random.Random(3)
+    texts = names_corpus(rng)
+    docs, labels = corpus(spark, texts, "toxic")
+    pairs = [(" ".join(sorted(b)), " ".join(sorted(a))) for t, _ in texts for b, a in toxicity.swaps(t)][::50]
+    sides = [spark.createDataFrame([(i, p[k]) for i, p in enumerate(pairs)], "doc_id long, text string") for k in (0, 1)]
+
+    def change(model):
+        one, two = (scores(spark, side, model, toxicity) for side in sides)
+        return sum((a - b) ** 2 for a, b in zip(one, two, strict=True)) / len(pairs)
+
+    fair = change(toxicity.fit(docs, labels))
+    monkeypatch.setattr(toxicity, "FAIRNESS", 0.0)
+    assert fair < 0.1 * change(toxicity.fit(docs, labels))
+
+
+def test_repeated_labelled_documents_and_ties(spark):
+    """Repeated rows and labels change nothing; the order of rows does not either."""
+    texts = names_corpus(random.Random(5))
+    docs, labels = corpus(spark, texts, "toxic")
+    expected = toxicity.fit(docs, labels)
+    again = toxicity.fit(docs.unionByName(docs).repartition(5), labels.unionByName(labels).repartition(3))
+    assert again.weights.keys() == expected.weights.keys()
+    assert again.weights == pytest.approx(expected.weights, abs=1e-6) and again.bias == pytest.approx(expected.bias, abs=1e-6)
 
 
 def junk(rng, kind, n):
@@ -124,12 +183,21 @@ def test_held_out_is_the_checksum(spark):
     assert [r.h for r in rows] == [zlib.crc32(str(r.id).encode()) % 5 == 0 for r in rows]
 
 
-@pytest.mark.parametrize("name,label,threshold", [("op6_quality_knn", "quality", 0.9), ("op10_toxicity", "toxic", 0.85)])
-def test_held_out_accuracy_on_given_documents(spark, name, label, threshold):
+def area(rows):
+    """The share of pairs of one row of each label in which the score tells them apart."""
+    ones, zeros = ([s for s, x in rows if x == y] for y in (1, 0))
+    return sum((a > b) + (a == b) / 2 for a in ones for b in zeros) / (len(ones) * len(zeros))
+
+
+@pytest.mark.parametrize("name,label,least", [("op6_quality_knn", "quality", 0.95), ("op10_toxicity", "toxic", 0.9)])
+def test_held_out_documents(spark, name, label, least):
+    """Both classes are told, not the larger one alone: recall of each, and the area."""
     from loanpanel.llm.queries import QUERIES
 
-    sf_dir = "/root/testdata/sf0.01"
+    sf_dir = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     rows = QUERIES[name](spark, sf_dir).join(labels, "doc_id").where("held_out").collect()
-    assert len(rows) > 50
-    assert sum(r.predicted == r[label] for r in rows) / len(rows) >= threshold
+    for x in (0, 1):
+        own = [r.predicted == x for r in rows if r[label] == x]
+        assert len(own) > 50 and sum(own) / len(own) >= 0.9
+    assert area([(r.score, r[label]) for r in rows]) >= least
