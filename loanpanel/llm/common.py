@@ -36,6 +36,9 @@ def small_batches(spark: SparkSession) -> None:
 
     Spark's own bounds (10,000 rows, 64 MB) hold for the rows' Arrow form, of which the
     JVM and the worker have copies outside the heap at once, in every running task.
+
+    Sets the two Arrow settings of the session, and leaves them set: they are read when a
+    query runs, and frames are lazy. Results never depend on them.
     """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))

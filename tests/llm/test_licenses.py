@@ -2,6 +2,7 @@ import math
 import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from loanpanel.llm import licenses
@@ -84,6 +85,65 @@ def test_blocks_against_brute_force(spark):
     check(spark, texts)
 
 
+def long_templates(rng, n):
+    """As many notices of up to 300 words, of partly common words."""
+    common = [f"c{i}" for i in range(40)]
+    for i in range(n):
+        own = [f"t{i}x{j}" for j in range(rng.randrange(1, 200))]
+        yield " ".join(own + rng.choices(common, k=rng.randrange(0, 100))), f"l{i % 7}"
+
+
+def test_many_long_templates_against_brute_force(spark):
+    rng = random.Random(8)
+    templates = list(long_templates(rng, 80))
+    texts = []
+    for _ in range(60):
+        words = rng.choices([f"c{i}" for i in range(60)], k=rng.randrange(0, 400))
+        for _ in range(rng.randrange(3)):
+            notice = [w for w in rng.choice(templates)[0].split() if rng.random() > rng.choice([0, 0.1, 0.25])]
+            at = rng.randrange(len(words) + 1)
+            words[at:at] = notice
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = licenses.scan(docs, templates=templates)
+    rows = {r.doc_id: [tuple(m) for m in r.matches] for r in found.collect()}
+    total = 0
+    for i, text in enumerate(texts):
+        words, expected = text.split(), []
+        for t, label in templates:
+            own = set(t.split())
+            stride = max(STRIDE, 2 ** math.ceil(math.log2(len(own))))
+            for block in range(math.ceil(len(words) / stride)):
+                k = len(own.intersection(words[block * stride : (block + 2) * stride]))
+                if k >= math.ceil(THRESHOLD * len(own) - 1e-9):
+                    expected.append((stride, block, label, k, k / len(own)))
+        assert sorted(rows[i]) == sorted(expected)
+        total += len(expected)
+    assert total > 30
+    # the plan does not grow with the templates
+    size = lambda df: len(df._jdf.queryExecution().optimizedPlan().toString())
+    assert size(found) < 1.1 * size(licenses.scan(docs, templates=templates[:1]))
+
+
+def test_filters_leave_few_pairs_to_compare():
+    rng = random.Random(9)
+    templates = list(long_templates(rng, 100))
+    words = sorted({w for t, _ in templates for w in t.split()}, key=lambda w: (w[0] == "c", w))
+    index = licenses.Index(templates, words, THRESHOLD)
+    text = [w.encode() for w in rng.choices([f"c{i}" for i in range(40)], k=2000) + templates[5][0].split()]
+    assert any(m[2] == templates[5][1] for m in index.matches(text))
+    assert index.compared < 40  # of 100 templates and tens of blocks
+
+
+def test_templates_without_words(spark):
+    docs = spark.createDataFrame([(1, "cc by nc")], "doc_id long, text string")
+    for wrong in ({"templates": [(" ", "x")]}, {"phrases": {"": "x"}}):
+        with pytest.raises(ValueError, match="without a word"):
+            licenses.scan(docs, **wrong)
+    row = licenses.scan(docs, templates=[]).first()
+    assert (row.n_base, row.labels, row.matches) == (1, ["cc-by-nc"], [])
+
+
 def test_rarest_words_first(spark):
     docs = spark.createDataFrame([("gnu gnu gnu mit",), (None,)], "text string")
     order = licenses.word_order(docs, [("gnu mit bsd", "x")])

@@ -104,3 +104,13 @@ def test_no_python_in_the_plan(spark):
         plan = frame._jdf.queryExecution().toString()
         assert "Python" not in plan and "Arrow" not in plan
     assert F.col is not None
+
+
+def test_cuts_joined_as_broadcast(spark, monkeypatch):
+    """Many leaves are joined by leaf; the documents taken are the same."""
+    docs = corpus(spark, {("en", "src0"): 30, ("en", "src5"): 20, ("de", "src1"): 7, (None, None): 5})
+    mix = Mix(percent=60)
+    taken = lambda: sorted(map(tuple, mixing.mixed(docs, mixing.cuts(docs, mix), mix).collect()), key=str)
+    expected = taken()
+    monkeypatch.setattr(mixing, "BROADCAST_LEAVES", 0)
+    assert taken() == expected and expected
