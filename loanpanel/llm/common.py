@@ -50,9 +50,14 @@ def settled(df: DataFrame) -> DataFrame:
     Cuts the lineage in a way that survives lost executors. The folder is the one
     that spark.checkpoint.dir names; only a local session without that setting gets
     a folder of its own.
+
+    Shuffles that only frames settled before have used are not needed any more. Spark
+    removes their files when the driver's garbage is collected, which a driver with little
+    to do puts off for long, so it is asked to do that first.
     """
     spark = df.sparkSession
     context = spark.sparkContext
+    context._jvm.java.lang.System.gc()
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:

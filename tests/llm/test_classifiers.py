@@ -183,6 +183,43 @@ def test_held_out_is_the_checksum(spark):
     assert [r.h for r in rows] == [zlib.crc32(str(r.id).encode()) % 5 == 0 for r in rows]
 
 
+def test_votes_against_a_plain_scan():
+    """All cosines, sorted; the nearest vote by their similarity."""
+    rng = np.random.default_rng(2)
+    terms, rank, labelled = quality_knn.TERMS, 12, 300
+    axes = np.linalg.qr(rng.standard_normal((terms, rank)))[0]
+    known = rng.random((labelled, terms))
+    plain = quality_knn.Model(rng.random(terms), axes, np.zeros((0, rank)), (rng.random(labelled) < 0.3).astype(float), 0.5)
+    model = quality_knn.Model(plain.weights, axes, plain.place(known), plain.labels, 0.5)
+    asked = rng.random((40, terms))
+    votes = model.vote(asked)
+    for frequencies, vote in zip(asked, votes, strict=True):
+        v = (frequencies * model.weights) @ axes
+        similar = []
+        for row, label in zip(known, model.labels, strict=True):
+            w = (row * model.weights) @ axes
+            similar.append((float(v @ w / np.sqrt((v @ v) * (w @ w))), label))
+        nearest = sorted(similar, reverse=True)[: quality_knn.NEIGHBOURS]
+        weights = [max(s, 0) ** 8 + 1e-9 for s, _ in nearest]
+        assert vote == pytest.approx(sum(w * x for w, (_, x) in zip(weights, nearest, strict=True)) / sum(weights))
+
+
+def test_scores_of_the_query_against_its_features(spark):
+    """op10 on a whole table: each score from the features of the text, one by one."""
+    from loanpanel.llm.queries import op10_toxicity
+
+    sf_dir = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(docs.select("doc_id", "text"), labels)
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    rows = op10_toxicity(spark, sf_dir).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    for r in rows:
+        z = model.bias + sum(model.weights.get(f, 0.0) for f in toxicity.features(texts[r.doc_id]))
+        assert r.score == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-9)
+        assert r.predicted == (r.score >= 0.5)
+
+
 def area(rows):
     """The share of pairs of one row of each label in which the score tells them apart."""
     ones, zeros = ([s for s, x in rows if x == y] for y in (1, 0))
