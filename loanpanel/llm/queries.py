@@ -526,8 +526,12 @@ WITH docs AS (SELECT row_number() OVER () AS r, 0 AS part, doc_id, coalesce(text
   SELECT row_number() OVER () AS s, r, start, start + len(value) AS stop, value FROM strings x
   WHERE len(value) >= {secret_scan.SAMPLE} AND NOT EXISTS (
     SELECT 1 FROM base b WHERE b.r = x.r AND b.start < x.start + len(x.value) AND b.stop > x.start)
+), candidates AS MATERIALIZED (
+  SELECT s, r, start, stop, value FROM free WHERE len(value) >= {secret_scan.CANDIDATE}
+    AND CAST(regexp_matches(value, '[0-9]') AS INT) + CAST(regexp_matches(value, '[a-z]') AS INT)
+      + CAST(regexp_matches(value, '[A-Z]') AS INT) >= 2
 ), samples AS (
-  SELECT 0 AS label, value FROM free
+  SELECT 0 AS label, value FROM free ANTI JOIN candidates USING (s)
   UNION ALL SELECT 1, v FROM (SELECT unnest(regexp_extract_all(inner_value, '{signs}')) AS v FROM base) WHERE len(v) >= {secret_scan.SAMPLE}
 ), steps AS (
   SELECT label, unnest(string_split(chr(10) || value, '')) AS a, unnest(string_split(value || chr(10), '')) AS b FROM samples
@@ -541,10 +545,6 @@ WITH docs AS (SELECT row_number() OVER () AS r, 0 AS part, doc_id, coalesce(text
   FROM states x CROSS JOIN states y
   LEFT JOIN counts r0 ON r0.label = 0 AND r0.a = x.c AND r0.b = y.c LEFT JOIN counts r1 ON r1.label = 1 AND r1.a = x.c AND r1.b = y.c
   LEFT JOIN totals t0 ON t0.label = 0 AND t0.a = x.c LEFT JOIN totals t1 ON t1.label = 1 AND t1.a = x.c
-), candidates AS (
-  SELECT s, r, start, stop, value FROM free WHERE len(value) >= {secret_scan.CANDIDATE}
-    AND CAST(regexp_matches(value, '[0-9]') AS INT) + CAST(regexp_matches(value, '[a-z]') AS INT)
-      + CAST(regexp_matches(value, '[A-Z]') AS INT) >= 2
 ), scored AS (
   SELECT s, sum(ratio) AS score FROM (
     SELECT s, unnest(string_split(chr(10) || value, '')) AS a, unnest(string_split(value || chr(10), '')) AS b FROM candidates

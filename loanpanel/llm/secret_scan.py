@@ -7,8 +7,9 @@ character to character, from the border in and out again. The ratios are kept in
 thousandths, so a score is exact whatever the order of adding.
 
 The labelled samples are the strings of the documents themselves: what a base pattern found
-is random, every other string of SAMPLE characters or more is ordinary. All documents are
-counted; a task hands on one number per pair of characters and class. More samples, of kinds
+is random; every other string of SAMPLE characters or more is ordinary, but for those that
+the model is to judge (CANDIDATE characters or more, of several kinds), which have no label:
+among them are the secrets that no pattern knows. All documents are counted; a task hands on one number per pair of characters and class. More samples, of kinds
 that the patterns do not know, can be given as a table.
 """
 
@@ -30,7 +31,7 @@ _STRINGS = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}"
 #: Characters of a string that is counted, and of one that may be a secret.
 SAMPLE, CANDIDATE = 8, 16
 #: A string is a secret from so many nats in all, and for each of its characters.
-NATS, NATS_EACH = 12.0, 0.75
+NATS, NATS_EACH = 12.0, 0.4
 
 # The base patterns, the least characters of a match (of its last group, if
 # it has groups), in the order in which kinds are sorted.
@@ -75,15 +76,22 @@ def _pairs(strings: list[str]) -> np.ndarray:
 
 
 def samples_of(text: str) -> tuple[list[str], list[str]]:
-    """The ordinary and the random strings of a text: of a base match its last group, and
-    the strings that touch no base match."""
+    """The ordinary and the random strings of a text: strings that touch no base match and
+    are no candidates, and the last groups of base matches."""
     base = base_spans(text)
     random = []
     for start, kind, end in base:
         value = _ASSIGN.match(text, start).group(2) if kind == 0 else text[start:end]
         random += _SAMPLES.findall(value)
     free = _outside(base)
-    return [m.group() for m in _SAMPLES.finditer(text) if free(*m.span())], random
+    return [m.group() for m in _SAMPLES.finditer(text) if free(*m.span()) and not is_candidate(m.group())], random
+
+
+def is_candidate(string: str) -> bool:
+    """Is it long enough, and has it two of digits, small and capital letters?"""
+    if len(string) < CANDIDATE:
+        return False
+    return any(map(str.isdigit, string)) + any(map(str.islower, string)) + any(map(str.isupper, string)) >= 2
 
 
 def _outside(spans: list[tuple[int, int, int]]):
@@ -117,9 +125,8 @@ class Model:
         return int(self.ratios[codes[:-1], codes[1:]].sum())
 
     def is_secret(self, string: str) -> bool:
-        """Has it two of digits, small and capital letters, and does it look random?"""
-        kinds = any(map(str.isdigit, string)) + any(map(str.islower, string)) + any(map(str.isupper, string))
-        return kinds >= 2 and self.score(string) >= max(1000 * NATS, 1000 * NATS_EACH * len(string))
+        """Is it a candidate, and does it look random?"""
+        return is_candidate(string) and self.score(string) >= max(1000 * NATS, 1000 * NATS_EACH * len(string))
 
 
 def fit(docs: DataFrame, text: str = "text", samples: DataFrame | None = None) -> Model:

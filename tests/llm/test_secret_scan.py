@@ -22,6 +22,11 @@ def brute_base(text):
     return sorted(found)
 
 
+def several_kinds(word):
+    kinds = sum(any(c in k for c in word) for k in (string.digits, string.ascii_lowercase, string.ascii_uppercase))
+    return len(word) >= secret_scan.CANDIDATE and kinds >= 2
+
+
 def brute_spans(texts):
     """Base spans and scores counted step by step, of all texts together."""
     signs = re.escape(secret_scan.SIGNS)
@@ -32,6 +37,8 @@ def brute_spans(texts):
         for m in re.finditer(f"[{signs}]+", text):
             if len(m.group()) >= secret_scan.SAMPLE and all(m.end() <= s or e <= m.start() for s, _, e in base):
                 free.append((text, m))
+                if several_kinds(m.group()):
+                    continue  # to be judged, not learned
                 for pair in zip("\n" + m.group(), m.group() + "\n"):
                     counts[0][pair] = counts[0].get(pair, 0) + 1
         for s, kind, e in base:
@@ -51,8 +58,7 @@ def brute_spans(texts):
     found = {id(t): brute_base(t) for t in texts}
     for text, m in free:
         word = m.group()
-        kinds = sum(any(c in k for c in word) for k in (string.digits, string.ascii_lowercase, string.ascii_uppercase))
-        if len(word) >= secret_scan.CANDIDATE and kinds >= 2:
+        if several_kinds(word):
             score = sum(map(ratio, zip("\n" + word, word + "\n")))
             if score >= 1000 * max(secret_scan.NATS, secret_scan.NATS_EACH * len(word)):
                 found[id(text)].append((m.start(), 3, m.end()))
@@ -61,7 +67,12 @@ def brute_spans(texts):
 
 def sample_texts():
     rng = random.Random(3)
-    word = lambda: "".join(rng.choice(["an", "the", "ing", "tion", "er", "ou", "re"]) for _ in range(rng.randint(1, 6)))
+    syllables = ["an", "the", "ing", "tion", "er", "ou", "re"]
+
+    def word():
+        made = "".join(rng.choice(syllables) for _ in range(rng.randint(1, 6)))
+        return rng.choice([made, made, made.title(), made.upper(), f"{made}{rng.randint(1, 99)}"])
+
     secret = lambda signs, n: "".join(rng.choice(signs) for _ in range(n))
     kinds = [
         lambda: "password=" + secret("0123456789abcdef", 18),
@@ -72,7 +83,7 @@ def sample_texts():
         lambda: "get" + word().title() + word().title(),
         lambda: "4785380592391139",
     ]
-    for _ in range(60):
+    for _ in range(120):
         yield " ".join(rng.choice(kinds)() if rng.random() < 0.03 else word() for _ in range(rng.randint(0, 150)))
 
 
