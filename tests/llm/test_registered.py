@@ -1,12 +1,14 @@
 """The registered queries: against DuckDB where SQL can say it, and the pipeline."""
 
+from pathlib import Path
+
 import duckdb
 import pytest
 
 import __spark_entry__
 import corpus_pipeline
 from checks.compare import canonical, duckdb_pandas, spark_pandas
-from loanpanel.llm import neardup
+from loanpanel.llm import mixing, neardup
 from loanpanel.llm.queries import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -60,6 +62,31 @@ def test_near_dedup_loses_no_text(spark):
     assert sorted((r.doc_id, r.text[:2]) for r in kept) == [(3, "a0"), (5, "cc"), (7, "b0"), (7, "b0")]
 
 
+def test_pipeline_mixes_by_weight(spark, tmp_path):
+    """Half of the tokens are crawled; of the mix, 35 in 100 are, as its weights say."""
+    schema = "doc_id long, text string, lang string, source string"
+    rows = [(i, "w " * 10, "en", f"src{i % 2}") for i in range(400)]
+    docs = spark.createDataFrame(rows, schema)
+    ends = mixing.cuts(docs, corpus_pipeline.MIX)
+    kept = corpus_pipeline.mix_sources(spark, docs, SF_DIR, ends)
+    ids = [r.doc_id for r in kept.collect()]
+    assert len(ids) == len(set(ids)) and sum(i % 2 for i in ids) == 200
+    copies = dict(map(tuple, corpus_pipeline.uses(kept, ends).collect()))
+    assert copies.keys() == set(ids)
+    assert sum(n for i, n in copies.items() if i % 2 == 0) == 140
+    assert sum(n for i, n in copies.items() if i % 2) == 260
+
+
+def test_pipeline_leaves_the_cuts(spark):
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(folder.glob("pipeline-*"))
+    ids = {r.doc_id for r in corpus_pipeline.run(spark, SF_DIR).collect()}
+    [run] = set(folder.glob("pipeline-*")) - before
+    kept, ends = (spark.read.parquet(f"{run}/{name}") for name in ("mixing", "mixing_cuts"))
+    copies = dict(map(tuple, corpus_pipeline.uses(kept, ends).collect()))
+    assert copies.keys() == ids and max(copies.values()) > 1
+
+
 def test_stages_keep_columns_and_take_odd_rows(spark, tmp_path):
     """Nulls, empty texts, repeated rows and columns with the operators' own names."""
     schema = "doc_id long, text string, lang string, source string, n_chars long, score string, copies int, ids string"
