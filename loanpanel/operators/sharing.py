@@ -21,8 +21,12 @@ class Shared:
         self.dealt = df.select(F.concat(key, F.lit("")).alias(key), value).repartition(key)
 
     def rows(self) -> DataFrame:
+        """All rows. A condition on the key that only one reader has (a join makes one, that
+        the key is not null) stays behind the shuffle too: the optimizer moves nothing past
+        a filter that depends on a row's place."""
         fields = [F.element_at("value", 1)[name].alias(name) for name in self.columns]
-        return self.dealt.select(self.key, *fields)
+        here = self.dealt.where(F.monotonically_increasing_id() >= 0)
+        return here.select(self.key, *fields)
 
     def rows_where(self, condition: Column) -> DataFrame:
         """The rows that meet a condition that only one of the readers has.

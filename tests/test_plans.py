@@ -86,6 +86,14 @@ def test_panel_is_evaluated_once(raw, stored, columns):
     assert "ReusedExchange" in text
 
 
+def test_panel_is_evaluated_once_under_a_join(spark):
+    """A join on the loan adds, for the one reader that is under it, that the loan is not null."""
+    raw = performance_raw(spark, SF_DIR), originations_raw(spark, SF_DIR)
+    df = training_set(*raw)
+    df.collect()
+    assert re.search("ReusedExchange.*REPARTITION_BY_COL", plan(df))
+
+
 @pytest.mark.parametrize("columns", [["*"], ["LOAN_SEQUENCE_NUMBER"]])
 def test_row_mask_evaluates_the_panel_once(raw, stored, columns):
     history = with_default_flag(drop_bad_loans(stored(clean_performance(raw[0]))))
