@@ -2,6 +2,7 @@ import re
 
 import pytest
 
+from checks import registry
 from checks.inputs import originations_raw
 from loanpanel.operators.originations import ORIGINATION_PATTERNS, clean_originations
 from loanpanel.operators.patterns import NumericColumn
@@ -54,3 +55,15 @@ def test_reports_on_an_empty_table(spark, raw):
     watched.write.format("noop").mode("overwrite").save()
     assert reports.row_count_report(spark).first()["rows"] == 0
     assert reports.value_profile(spark, "none").collect() == value_profile(none, NUMERIC).collect()
+
+
+def test_a_profile_runs_only_the_write_that_it_comes_with(spark, monkeypatch):
+    """The profile of the originations needs no monthly rows, and no run of another query."""
+
+    def unread(*_):
+        raise AssertionError("read the monthly rows")
+
+    monkeypatch.setattr(registry, "performance_raw", unread)
+    found = registry.QUERIES["value_profile_observed"].run(spark, SF_DIR)
+    expected = registry.QUERIES["value_profile"].run(spark, SF_DIR)
+    assert found.collect() == expected.collect()
