@@ -17,8 +17,7 @@ def blank_to_null(value: Column) -> Column:
 
 def tolerant_float(value: Column) -> Column:
     """Float, or null for malformed text and for the text 'NaN'."""
-    number = value.try_cast("float")
-    return F.when(~F.isnan(number), number)
+    return F.nanvl(value.try_cast("float"), F.lit(None).cast("float"))
 
 
 def whole_number_text(value: Column) -> Column:

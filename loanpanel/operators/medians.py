@@ -24,13 +24,13 @@ def exact_medians(df: DataFrame, values: Mapping[str, Column]) -> DataFrame:
     As usual, an even number of values gives the mean of the middle two.
     """
     names = list(values)
-    pairs = [
-        part
-        for number, name in enumerate(names)
-        for part in (F.lit(number), values[name].cast("float"))
-    ]
+    # The values are columns before they are rows: a projection computes what they share once,
+    # ``stack`` would read each text as often as its expression names it.
+    columns = [values[name].cast("float").alias(f"v{number}") for number, name in enumerate(names)]
+    pairs = [part for number in range(len(names)) for part in (F.lit(number), F.col(f"v{number}"))]
     counts = (
-        df.select(F.stack(F.lit(len(names)), *pairs).alias("which", "value"))
+        df.select(*columns)
+        .select(F.stack(F.lit(len(names)), *pairs).alias("which", "value"))
         .where(F.col("value").isNotNull())
         .groupBy("which", "value")
         .agg(F.count(F.lit(1)).alias("n"))

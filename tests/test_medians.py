@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loanpanel.operators.medians import _value_range, exact_medians
+from loanpanel.operators.patterns import NumericColumn, equals
 
 
 def float32(value):
@@ -70,3 +71,12 @@ def test_value_range_never_decreases(spark):
     df = spark.createDataFrame([(v,) for v in values], "v float").coalesce(1)
     ranges = [r[0] for r in df.select(_value_range(F.col("v"))).collect()]
     assert ranges == sorted(ranges)
+
+
+def test_a_text_is_read_once(spark):
+    """The parsed number is a column before it is a row, and its text is parsed once for it."""
+    df = spark.range(5).select(F.concat("id", F.lit("")).alias("text"))
+    number = NumericColumn("text", 0, 10, "int", equals(3)).observed()
+    text = exact_medians(df, {"text": number})._jdf.queryExecution().executedPlan().toString()
+    assert "Generate stack" in text
+    assert not [x for x in text.split("\n") if "Generate stack" in x and "cast" in x]
