@@ -127,7 +127,7 @@ def months(spark, sf_dir):
 
 
 def cleaned(spark, sf_dir):
-    return clean_performance(performance_raw(spark, sf_dir))
+    return clean_performance(performance_raw(spark, sf_dir, read_twice=True))
 
 
 def history(spark, sf_dir):
@@ -738,7 +738,8 @@ TRAINING = query(sql.TRAINING, f"SELECT * FROM aggregated JOIN orig_clean USING
 
 @register("join_performance_originations", TRAINING)
 def _(spark, sf_dir):
-    return rounded(training_set(performance_raw(spark, sf_dir), originations_raw(spark, sf_dir)))
+    performance = performance_raw(spark, sf_dir, read_twice=True)
+    return rounded(training_set(performance, originations_raw(spark, sf_dir)))
 
 
 @register("build_training_set", TRAINING)
@@ -1319,7 +1320,8 @@ fitted AS (SELECT {_medians}, MEDIAN(CAST(status AS DOUBLE)) AS status_m FROM ea
     ),
 )
 def _(spark, sf_dir):
-    df = clean_performance(performance_raw(spark, sf_dir), EARLIER_PERFORMANCE_PATTERNS)
+    raw = performance_raw(spark, sf_dir, read_twice=True)
+    df = clean_performance(raw, EARLIER_PERFORMANCE_PATTERNS)
     uncleaned = ("ELTV", "DDLPI", "CUMULATIVE_MOD_COST", "CURRENT_MONTH_MOD_COST", "DELINQUENT_ACCRUED_INTEREST")
     others = ("DELINQUENCY_DUE_TO_DISASTER", "BORROWER_ASSISTANCE_STATUS_CODE")
     return df.drop(*uncleaned, *others)

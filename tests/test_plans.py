@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks.inputs import originations_raw, performance_raw
+from checks.registry import QUERIES
 from loanpanel.operators.labels import feature_cutoff, pre_default_rows, with_default_flag
 from loanpanel.operators.panel import drop_bad_loans
 from loanpanel.plans.training_set import aggregate_performance, training_set
@@ -94,6 +95,28 @@ def test_panel_is_evaluated_once_under_a_join(spark):
     assert re.search("ReusedExchange.*REPARTITION_BY_COL", plan(df))
 
 
+@pytest.mark.parametrize("name", ["clean_performance", "join_performance_originations"])
+def test_positions_are_found_once(spark, name):
+    """Though the monthly table is read to fit medians and again to clean it."""
+    df = QUERIES[name].run(spark, SF_DIR)
+    df.collect()
+    assert re.search(r"ReusedExchange.*Exchange hashpartitioning\(ok#", plan(df))
+
+
+def test_customers_are_dealt_before_they_are_made_loans(spark):
+    """Their file may be one task, however many rows it has."""
+    text = plan(originations_raw(spark, SF_DIR))
+    assert text.index("Generate explode") < text.index("Exchange") < text.index("Scan parquet")
+
+
+def test_a_loop_over_wide_rows_is_not_one_method(raw):
+    """Steps with a star are fused into one generated loop."""
+    wide = plan(raw[1].withColumns({f"x{i}": F.col("CREDIT_SCORE") for i in range(10)}).limit(5))
+    assert "Project" in wide and not re.search(r"\*\(\d+\) Project", wide)
+    narrow = plan(raw[1].select(F.upper("CREDIT_SCORE")).limit(5))
+    assert re.search(r"\*\(\d+\) Project", narrow)
+
+
 @pytest.mark.parametrize("columns", [["*"], ["LOAN_SEQUENCE_NUMBER"]])
 def test_row_mask_evaluates_the_panel_once(raw, stored, columns):
     history = with_default_flag(drop_bad_loans(stored(clean_performance(raw[0]))))
