@@ -19,7 +19,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterable, Iterator
-from itertools import islice
+from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -252,6 +252,7 @@ def encode(
     text: str = "text",
     keep_ids: bool = True,
     digests: bool = False,
+    copies: str | None = None,
 ) -> DataFrame:
     """One row per row of `docs`: its key, n_tokens, and ids (packed little-endian
     unsigned 32-bit integers, the form in which training files hold them).
@@ -260,6 +261,9 @@ def encode(
     bytes that they decode to), made where the ids are, so that these need not be kept
     (`keep_ids`) to be checked.
 
+    `copies` names a column of whole numbers: the row has its text's ids so many times, one
+    after the other, and n_tokens and the digests are of all of them. The text is merged once.
+
     A null or empty text has no ids. Repeated rows give repeated rows; other columns of
     `docs` are not read, whatever their names. Special tokens are ordinary text.
     """
@@ -284,11 +288,14 @@ def encode(
         for batch in batches:
             # large texts in small pieces: a batch's ids stay far from 2 GB
             for part in (batch.slice(at, 256) for at in range(0, batch.num_rows, 256)):
-                rows = [row(ids, vocabulary.tokens) for ids in encoder(t.as_py() for t in part.column(1))]
+                times = part.column(2).to_pylist() if copies else repeat(1, part.num_rows)
+                encoded = encoder(t.as_py() for t in part.column(1))
+                rows = [row(ids * n, vocabulary.tokens) for ids, n in zip(encoded, times, strict=True)]
                 arrays = [pa.array(list(c), t) for c, (_, _, t) in zip(zip(*rows, strict=True), fields, strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(0), *arrays], names=schema.names)
 
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, schema)
+    given = [F.col(key).alias("key"), F.col(text).alias("text"), *([F.col(copies).alias("copies")] if copies else [])]
+    rows = docs.select(*given).mapInArrow(run, schema)
     return rows.select(F.col("key").alias(key), *(name for name, _, _ in fields))
 
 

@@ -1,5 +1,7 @@
 """The registered queries: against DuckDB where SQL can say it, and the pipeline."""
 
+import hashlib
+from collections import Counter
 from pathlib import Path
 
 import duckdb
@@ -77,6 +79,61 @@ def test_pipeline_mixes_by_weight(spark, tmp_path):
     assert sum(n for i, n in copies.items() if i % 2) == 260
 
 
+def mix_rows():
+    """Half of the words are crawled; documents have different words, so that their tokens tell
+    them apart. Nulls, an empty text and a repeated row beside."""
+    rows = [(i, f"w{i} " * 10, "en", f"src{i % 2}") for i in range(400)]
+    return [*rows, rows[1], (None, "of no key", "de", "src1"), (900, None, None, None), (901, "", "en", "src1")]
+
+
+def test_pipeline_gives_a_row_for_each_use(spark):
+    """Of a document that the mix uses three times there are three rows and their tokens."""
+    docs = spark.createDataFrame(mix_rows(), "doc_id long, text string, lang string, source string")
+    ends = mixing.cuts(docs, corpus_pipeline.MIX)
+    kept = corpus_pipeline.mix_sources(spark, docs, SF_DIR, ends)
+    copies = Counter()
+    for r in mixing.mixed(kept, ends, corpus_pipeline.MIX).collect():
+        copies[r[:4]] += r.copies
+    given = corpus_pipeline.mix_sources(spark, docs, SF_DIR)
+    assert given.columns == docs.columns
+    assert Counter(map(tuple, given.collect())) == copies and max(copies.values()) > 1
+    # by words, 35 in 100 are crawled: of 4013 words, 1404
+    words = Counter()
+    for (_, text, _, source), n in copies.items():
+        words[source == "src0"] += n * len((text or "").split())
+    assert 1390 <= words[True] <= 1404 and 2590 <= words[False] <= 2609
+    # as rows, or in one row: the same tokens
+    rows = corpus_pipeline.tokenize(spark, given, SF_DIR).collect()
+    once = corpus_pipeline.tokenize(spark, kept, SF_DIR, ends).collect()
+    assert len(rows) == sum(copies.values()) and len(once) == kept.count()
+    of_rows, of_once = Counter(), Counter()
+    for found, total in ((rows, of_rows), (once, of_once)):
+        for r in found:
+            assert len(r.ids) == 4 * r.n_tokens and hashlib.sha256(r.ids).hexdigest() == r.ids_sha256
+            total[r.doc_id] += r.n_tokens
+    assert of_rows == of_once
+    use = {r.doc_id: bytes(r.ids) for r in rows}
+    text = {r[0]: r[1] or "" for r in mix_rows()}
+    for r in once:
+        n = copies[next(d for d in copies if d[0] == r.doc_id)] // (2 if r.doc_id == 1 else 1)
+        assert bytes(r.ids) == use[r.doc_id] * n
+        assert r.decoded_sha256 == hashlib.sha256((text[r.doc_id] * n).encode()).hexdigest()
+
+
+def test_pipeline_run_gives_the_tokens_of_each_use(spark, tmp_path, monkeypatch):
+    docs = spark.createDataFrame(mix_rows(), "doc_id long, text string, lang string, source string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(corpus_pipeline, "STAGES", corpus_pipeline.STAGES[-2:])
+    n_tokens = {r.doc_id: r.n_tokens for r in corpus_pipeline.tokenize(spark, docs, SF_DIR).collect()}
+    expected = Counter()
+    for r in mixing.mixed(docs, mixing.cuts(docs, corpus_pipeline.MIX), corpus_pipeline.MIX).collect():
+        expected[r.doc_id] += r.copies * n_tokens[r.doc_id]
+    found = Counter()
+    for r in corpus_pipeline.run(spark, str(tmp_path)).collect():
+        found[r.doc_id] += r.n_tokens
+    assert found == expected
+
+
 def test_pipeline_leaves_the_cuts(spark):
     folder = Path(spark.conf.get("spark.checkpoint.dir"))
     before = set(folder.glob("pipeline-*"))
